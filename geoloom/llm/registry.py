@@ -4,14 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoloom.llm import jaccard_join
+from geoloom.llm import jaccard_join, suffix_dedup
 from geoloom.llm.tables import table
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op7_jaccard_join": op7_jaccard_join}
+QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
+    "op7_jaccard_join": op7_jaccard_join,
+}
 
 ORACLE_SQL: dict[str, str] = {}

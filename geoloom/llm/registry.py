@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoloom.llm import jaccard_join, suffix_dedup
+from geoloom.llm import class_lm, jaccard_join, kd_shards, language_id, permutation_index, suffix_dedup
 from geoloom.llm.tables import table
 
 
@@ -12,13 +12,33 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.query(table(spark, sf_dir, "documents"))
+
+
+def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_shards.shard(table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.class_scores(table(spark, sf_dir, "documents"))
+
+
+def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation_index.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_language_id": op2_language_id,
+    "op5_kd_shards": op5_kd_shards,
     "op7_jaccard_join": op7_jaccard_join,
+    "op9_class_lm": op9_class_lm,
+    "op10_permutation_index": op10_permutation_index,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -7,8 +7,9 @@ what the two orders share: with truncated orders the footrule distance is a cons
 sum over shared pivots of (STEPS - greater step). The ``KEEP`` of each block with the least footrule,
 ties included, are ranked again by the true inner product in double precision.
 
-Inner products become distances by one more dimension that gives all vectors the same norm; pivots are
-chosen far apart from a bounded sample of distinct vectors.
+The order is that of directions. As inner products also follow the norm, a block holds vectors of one
+band of norms, within which the nearest directions are the nearest vectors. Pivots are chosen far apart
+from a bounded sample of distinct vectors.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from geoloom.llm.tables import groups
 from geoloom.plans.materialize import materialize
 
 PIVOTS, PREFIX, STEPS, SAMPLE = 128, 32, 4, 1024
-KEEP, LEAST, BLOCK, QUERY_BLOCK = 0.45, 256, 4096, 512
+KEEP, LEAST, BLOCK, QUERY_BLOCK, BANDS = 0.45, 256, 4096, 512, 16
 
 
 def choose_pivots(sample: np.ndarray, count: int = PIVOTS) -> np.ndarray:
@@ -40,11 +41,10 @@ def choose_pivots(sample: np.ndarray, count: int = PIVOTS) -> np.ndarray:
     return sample[chosen]
 
 
-def orders(x: np.ndarray, pivots: np.ndarray, top: float) -> tuple[np.ndarray, np.ndarray]:
+def orders(x: np.ndarray, pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(pivots, steps) of each row: its nearest pivots as they come, and the step of each rank."""
-    lifted = x @ pivots[:, :-1].T + np.sqrt(np.maximum(top - (x * x).sum(1), 0))[:, None] * pivots[:, -1]
     n = min(PREFIX, len(pivots))
-    order = np.argsort(-lifted, 1, kind="stable")[:, :n]
+    order = np.argsort(-(x @ pivots.T), 1, kind="stable")[:, :n]
     return order, np.arange(n) * STEPS // n
 
 
@@ -65,10 +65,10 @@ def footrule_shares(q: np.ndarray, x: np.ndarray, steps: np.ndarray, pivots: int
     return out
 
 
-def _search(pivots: np.ndarray, top: float, nearest: int):
+def _search(pivots: np.ndarray, nearest: int):
     def rows(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         ids = t["vec_id"].to_numpy()
-        return ids, t["v"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+        return ids, t["v"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1 if len(ids) else 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, t in groups(batches, ["block", "q_block"]):
@@ -76,7 +76,7 @@ def _search(pivots: np.ndarray, top: float, nearest: int):
             (qid, q), (xid, x) = rows(t.filter(pa.array(is_query))), rows(t.filter(pa.array(~is_query)))
             if not len(qid) or not len(xid):
                 continue
-            (qo, steps), (xo, _) = orders(q, pivots, top), orders(x, pivots, top)
+            (qo, steps), (xo, _) = orders(q, pivots), orders(x, pivots)
             keep = min(len(x), max(LEAST, nearest, int(np.ceil(KEEP * len(x)))))
             out = []
             for at in range(0, len(q), 128):
@@ -108,21 +108,30 @@ def nearest_neighbours(vectors: DataFrame, nearest: int = 20, every: int = 20) -
     clean = vectors.select("vec_id", F.transform("embedding", lambda e: e.cast("double")).alias("v")).where(
         "vec_id is not null and v is not null and size(v) > 0 and forall(v, e -> e is not null and not isnan(e) and abs(e) < double('infinity')) and exists(v, e -> e <> 0)"
     )
-    lengths = clean.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"), F.max(F.aggregate("v", F.lit(0.0), lambda s, e: s + e * e)).alias("top")).orderBy(F.desc("n"), "d").first()
+    lengths = clean.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     if lengths is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    clean = clean.where(F.size("v") == lengths["d"]).dropDuplicates(["vec_id", "v"])
-    top, blocks = lengths["top"] * (1 + 1e-9), max(1, -(-lengths["n"] // BLOCK))
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, e: s + e * e))
+    clean = clean.where(F.size("v") == lengths["d"]).dropDuplicates(["vec_id", "v"]).withColumn("norm", norm)
     sample = clean.groupBy("v").agg(F.min(F.xxhash64("vec_id")).alias("h")).orderBy("h").limit(SAMPLE).collect()
     x = np.array([r["v"] for r in sample])
-    pivots = choose_pivots(np.hstack([x, np.sqrt(np.maximum(top - (x * x).sum(1), 0))[:, None]]))
-    clean = clean.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    pivots = choose_pivots(x / np.maximum(np.sqrt((x * x).sum(1)), 1e-300)[:, None])
+    cuts = clean.agg(F.percentile_approx("norm", [i / BANDS for i in range(BANDS + 1)], 10_000).alias("p")).first()["p"]
+    bounds = sorted(set(cuts[1:-1])) if cuts[-1] > 1.01 * cuts[0] else []
+    band = sum((F.col("norm") > b).cast("int") for b in bounds) if bounds else F.lit(0)
+    clean = clean.withColumn("band", band)
+    in_band = {r["band"]: -(-r["n"] // BLOCK) for r in clean.groupBy("band").agg(F.count("*").alias("n")).collect()}
+    blocks, start, first = sum(in_band.values()), 0, F.lit(0)
+    for b, n in sorted(in_band.items()):
+        first = F.when(F.col("band") == b, start + F.pmod(F.xxhash64("vec_id"), F.lit(n))).otherwise(first)
+        start += n
+    clean = clean.withColumn("block", first.cast("int")).drop("norm", "band")
     query = F.col("vec_id") % every == 0
     q_blocks = max(1, -(-clean.where(query).count() // QUERY_BLOCK))
     to = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     posted = clean.select("vec_id", "v", "block", to(q_blocks).alias("q_block"), F.lit(False).alias("is_query"))
     asked = clean.where(query).select("vec_id", "v", to(blocks).alias("block"), F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(q_blocks)).cast("int").alias("q_block"), F.lit(True).alias("is_query"))
     dealt = posted.union(asked).repartition(max(8, min(blocks * q_blocks, 4000)), "block", "q_block").sortWithinPartitions("block", "q_block")
-    found = materialize(dealt.mapInArrow(_search(pivots, top, nearest), "query_id long, vec_id long, score double"))
+    found = materialize(dealt.mapInArrow(_search(pivots, nearest), "query_id long, vec_id long, score double"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= nearest).select("query_id", "rank", "vec_id", "score")

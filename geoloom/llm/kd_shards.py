@@ -127,7 +127,7 @@ def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
             if n in cuts:
                 d, key = cuts[n]
                 node = F.when(F.col("node") == n, F.when(_key({n: d}) <= key, left).otherwise(right)).otherwise(node)
-        light = light.withColumn("node", node)
+        light = materialize(light.withColumn("node", node))  # else the next level evaluates all levels for each use
     leaf = F.coalesce(*[F.when(F.col("node") == n, F.lit(a)) for n, (a, _) in nodes.items()])
     light = light.select("g", "size", leaf.cast("int").alias("shard"))
     spark = docs.sparkSession

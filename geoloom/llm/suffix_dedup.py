@@ -209,7 +209,7 @@ RUN_SCHEMA = "part int, run string, seq int, shared int, tail binary, before bin
 SPAN_SCHEMA = "r long, start long, end long"
 
 
-def _runs(length: int, parts: int):
+def _runs(length: int, parts: int, window_parts: int):
     """Front-coded sorted runs of the suffixes at the wanted anchors; part -1 holds spans that are settled already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +259,7 @@ def _runs(length: int, parts: int):
                     else:
                         b = np.frombuffer(text[a - high : a - low + length], np.uint8)
                         start = np.arange(high - low + 1)
-                        where = texthash.ranges(texthash.prefix(b), start, start + length) % np.uint64(parts)
+                        where = texthash.ranges(texthash.prefix(b), start, start + length) % np.uint64(window_parts)
                         for i, p in enumerate(where.tolist()):
                             s = a - high + i
                             held.append((parts + int(p), text[s : s + length], None, w["copies"] == 1, r, s))
@@ -370,12 +370,14 @@ def remove_repeats(docs: DataFrame, length: int = 200, hot: int = 2000) -> DataF
     found = materialize(marks.join(often, "gram").select("gram", "stretch", "r", "pos", (F.col("low") != F.col("high")).alias("mixed")))
     kinds = found.where("mixed").groupBy("gram", "stretch").agg(F.count("*").alias("copies"), F.min(F.struct("r", "pos")).alias("one"))
     kinds = materialize(kinds.select("gram", "stretch", "copies", "one.r", "one.pos"))
-    crowd = kinds.groupBy("gram").agg((F.count("*") > hot).alias("hot"))
-    parts = max(1, kinds.count() // 10_000)
-    wanted = kinds.join(crowd, "gram").groupBy("r").agg(F.collect_list(F.struct("gram", "copies", "pos", "hot")).alias("wanted"))
+    windows = F.shiftright("pos", 8).bitwiseAND(255) - F.col("pos").bitwiseAND(255) + 1
+    crowd = kinds.groupBy("gram").agg((F.count("*") > hot).alias("hot"), F.count("*").alias("n"), F.sum(windows).alias("windows"))
+    sums = crowd.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("hot"), F.col("windows"))).alias("windows")).first()
+    parts, window_parts = 1 + (sums["n"] or 0) // 10_000, 1 + (sums["windows"] or 0) // 40_000
+    wanted = kinds.join(crowd.select("gram", "hot"), "gram").groupBy("r").agg(F.collect_list(F.struct("gram", "copies", "pos", "hot")).alias("wanted"))
     packed = keyed.mapInArrow(_pack, "r long, doc_id long, packed binary")
-    runs = materialize(packed.select("r", "packed").join(wanted, "r").mapInArrow(_runs(length, parts), RUN_SCHEMA))
-    sorted_runs = runs.where("part >= 0").repartition(min(4 * parts, 2000), "part").sortWithinPartitions("part", "run", "seq")
+    runs = materialize(packed.select("r", "packed").join(wanted, "r").mapInArrow(_runs(length, parts, window_parts), RUN_SCHEMA))
+    sorted_runs = runs.where("part >= 0").repartition(min(4 * (parts + window_parts), 2000), "part").sortWithinPartitions("part", "run", "seq")
     spans = sorted_runs.mapInArrow(_merged(length, parts), SPAN_SCHEMA)
     settled = runs.where("part = -1").select("r", F.col("anchor").alias("start"), (F.col("anchor") + length).alias("end"))
     whole = found.join(kinds.where("copies > 1").select("gram", "stretch", F.lit(True).alias("copied")), ["gram", "stretch"], "left").where("not mixed or copied")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoloom.llm import class_lm, jaccard_join, kd_shards, language_id, permutation_index, suffix_dedup
+from geoloom.llm import class_lm, decontaminate, jaccard_join, kd_shards, language_id, permutation_index, sentencepiece_match, suffix_dedup
 from geoloom.llm.tables import table
 
 
@@ -16,6 +16,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.query(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards.shard(table(spark, sf_dir, "documents"))
 
@@ -24,6 +28,11 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op8_sentencepiece_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sentencepiece_match.encode(docs, digest=True).drop("text")
+
+
 def op9_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return class_lm.class_scores(table(spark, sf_dir, "documents"))
 
@@ -35,8 +44,10 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language_id": op2_language_id,
+    "op4_decontaminate": op4_decontaminate,
     "op5_kd_shards": op5_kd_shards,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_sentencepiece_match": op8_sentencepiece_match,
     "op9_class_lm": op9_class_lm,
     "op10_permutation_index": op10_permutation_index,
 }

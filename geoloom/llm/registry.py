@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoloom.llm import class_lm, decontaminate, jaccard_join, kd_shards, language_id, permutation_index, sentencepiece_match, suffix_dedup
+from geoloom.llm import class_lm, decontaminate, jaccard_join, kd_shards, language_id, permutation_index, pii_disclosure, sentencepiece_match, suffix_dedup
 from geoloom.llm.tables import table
 
 
@@ -24,6 +24,10 @@ def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards.shard(table(spark, sf_dir, "documents"))
 
 
+def op6_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_disclosure.query(table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op4_decontaminate": op4_decontaminate,
     "op5_kd_shards": op5_kd_shards,
+    "op6_pii_disclosure": op6_pii_disclosure,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_sentencepiece_match": op8_sentencepiece_match,
     "op9_class_lm": op9_class_lm,

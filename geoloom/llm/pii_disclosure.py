@@ -146,10 +146,7 @@ def find(docs: DataFrame) -> DataFrame:
     added = term_places(docs, terms)
     joined = base.drop("around").join(added, "r", "left")
 
-    def known(i: int, kind: str) -> Column:
-        return F.transform(kind, lambda p: F.struct(p["start"].alias("start"), F.lit(i).alias("k"), p["end"].alias("end"), F.lit(1.0).alias("disclosure")))
-
-    joined = joined.withColumn("known", F.concat(*[known(i, k) for i, k in enumerate(PATTERNS)]))
+    joined = joined.withColumn("known", _known({k: k for k in PATTERNS}))
     free = F.filter(
         F.coalesce("term", F.array().cast("array<struct<start:int,end:int,disclosure:double>>")),
         lambda p: ~F.exists("known", lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"])),
@@ -173,25 +170,42 @@ def query(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", *[count(i) for i in range(len(KINDS))], F.sha2(_listed(base).cast("binary"), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"))
 
 
-def sanitise(docs: DataFrame) -> DataFrame:
-    """``docs`` with personal data and disclosing terms in text replaced; all rows and columns stay.
-
-    Base kinds become [EMAIL], [IP], [CARD], [PHONE]; generalised terms [TERM]; removed ones nothing. Where
-    spans overlap, the first gives its label and all their text goes. A null text stays null.
-    """
-    spans = find(docs).select("r", "spans").where(F.size("spans") > 0).dropDuplicates(["r"])
+def _masked(text: Column, spans: Column) -> Column:
+    """``text`` with each span replaced by its label; overlapping spans go as one."""
     label = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(done: Column, s: Column) -> Column:
         shown = F.when((s["k"] == 4) & (s["disclosure"] >= REMOVE), F.lit("")).otherwise(F.get(label, s["k"]))
         fresh = s["start"] >= done["at"]
-        out = F.when(fresh, F.concat(done["out"], F.substring(F.col("text"), done["at"] + 1, s["start"] - done["at"]), shown)).otherwise(done["out"])
+        out = F.when(fresh, F.concat(done["out"], F.substring(text, done["at"] + 1, s["start"] - done["at"]), shown)).otherwise(done["out"])
         return F.struct(F.greatest(done["at"], s["end"]).alias("at"), out.alias("out"))
 
-    def finish(done: Column) -> Column:
-        return F.concat(done["out"], F.substring(F.col("text"), done["at"] + 1, F.length("text")))
+    return F.aggregate(spans, start, step, lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text))))
+
+
+def _known(places: dict) -> Column:
+    """Places of the base kinds as spans, in order."""
 
-    joined = docs.withColumn("__r", row_key()).join(spans.select(F.col("r").alias("__r"), F.col("spans").alias("__spans")), "__r", "left")
-    text = F.when(F.col("__spans").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.aggregate("__spans", start, step, finish))
-    return joined.withColumn("text", text).select(*docs.columns)
+    def one(k: int, found: Column | str) -> Column:
+        return F.transform(found, lambda p: F.struct(p["start"].alias("start"), F.lit(k).alias("k"), p["end"].alias("end"), F.lit(1.0).alias("disclosure")))
+
+    return F.concat(*[one(KINDS.index(k), c) for k, c in places.items()])
+
+
+def sanitise(docs: DataFrame) -> DataFrame:
+    """``docs`` with personal data and disclosing terms in text replaced; all rows and columns stay.
+
+    Base kinds become [EMAIL], [IP], [CARD], [PHONE]; generalised terms [TERM]; removed ones nothing. Where
+    spans overlap, the first gives its label and all their text goes. What only shows once its neighbour
+    is gone (a card number behind the digits of an address) is masked in two further passes. A null text
+    stays null.
+    """
+    spans = find(docs).select("r", "spans").where(F.size("spans") > 0).dropDuplicates(["r"])
+    out = docs.withColumn("__r", row_key()).join(spans.select(F.col("r").alias("__r"), F.col("spans").alias("__spans")), "__r", "left")
+    told = F.col("__spans").isNotNull() & F.col("text").isNotNull()
+    out = out.withColumn("text", F.when(told, _masked(F.col("text"), F.col("__spans"))).otherwise(F.col("text")))
+    for _ in range(2):
+        out = out.withColumn("__more", F.when(told, F.array_sort(_known(_base(F.col("text"))))))
+        out = out.withColumn("text", F.when(told & (F.size("__more") > 0), _masked(F.col("text"), F.col("__more"))).otherwise(F.col("text")))
+    return out.select(*docs.columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geoloom.llm import class_lm, decontaminate, jaccard_join, kd_shards, language_id, permutation_index, pii_disclosure, sentencepiece_match, suffix_dedup
+from geoloom.llm import class_lm, decontaminate, jaccard_join, kd_shards, language_id, permutation_index, perspectives, pii_disclosure, sentencepiece_match, suffix_dedup
 from geoloom.llm.tables import table
 
 
@@ -16,6 +16,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.query(table(spark, sf_dir, "documents"))
 
 
+def op3_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.query(table(spark, sf_dir, "conversations"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -48,6 +52,7 @@ def op10_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_language_id": op2_language_id,
+    "op3_perspectives": op3_perspectives,
     "op4_decontaminate": op4_decontaminate,
     "op5_kd_shards": op5_kd_shards,
     "op6_pii_disclosure": op6_pii_disclosure,
@@ -57,4 +62,4 @@ QUERIES = {
     "op10_permutation_index": op10_permutation_index,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op3_perspectives": perspectives.ORACLE_SQL}

@@ -24,11 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.llm import texthash
-from geoloom.llm.tables import groups, texts
+from geoloom.llm.tables import groups, row_key, texts
 from geoloom.operators.graph import connected_components
 from geoloom.plans.materialize import materialize
 
@@ -137,8 +137,8 @@ def _features(k: int):
                     key = texthash.mix(key * np.uint64(0x9E3779B97F4A7C15) + m[:, r])
                 bands.append(key.view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(batch.schema.get_field_index("doc_id")), pa.array(counts, pa.int64()), pa.array(ids, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                names=["doc_id", "n_shingles", "class_id", "bands"],
+                [*(batch.column(batch.schema.get_field_index(c)) for c in ("r", "doc_id")), pa.array(counts, pa.int64()), pa.array(ids, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                names=["r", "doc_id", "n_shingles", "class_id", "bands"],
             )
 
     return run
@@ -178,14 +178,15 @@ def _linked(rows: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, chunk: int = 512) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text; other columns unused).
+    """(doc_id, n_shingles, component_id, r, component) for every row of ``docs`` (doc_id, text; other columns unused).
 
-    component_id: the least doc_id among the documents reachable by links, itself included. Null or
+    component_id: the least doc_id among the documents reachable by links, itself included. component tells
+    components apart even where ids are null or repeat; it is null for texts without shingles. r is row_key(). Null or
     wordless texts have no shingles and stand alone. Equal texts are linked (similarity 1). Rows that
     repeat a doc_id each give a row; a null doc_id stays null where its class has no other. An empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
-    features = materialize(docs.mapInArrow(_features(k), "doc_id long, n_shingles long, class_id long, bands array<long>"))
+    features = materialize(docs.select(row_key().alias("r"), "doc_id", "text").mapInArrow(_features(k), "r long, doc_id long, n_shingles long, class_id long, bands array<long>"))
     filled = features.where("n_shingles > 0")
     banded = filled.select("class_id", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
@@ -212,14 +213,25 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, chunk: in
         .select("class_id", "doc_id", F.coalesce("component", "class_id").alias("component"))
     )
     component = least.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    ids = least.join(component, "component").select("class_id", "component_id")
+    ids = least.join(component, "component").select("class_id", "component_id", "component")
     return (
-        features.select("doc_id", "n_shingles", "class_id")
+        features.select("r", "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("class_id")).alias("class_id"))
         .join(ids, "class_id", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "r", "component")
     )
 
 
+def one_of_each(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component the row with the least doc_id.
+
+    Texts without shingles all stay, rows that repeat doc_id and text become one.
+    """
+    found = jaccard_components(docs, k, percent)
+    w = Window.partitionBy(F.coalesce("component", "r"), F.col("component").isNull()).orderBy("doc_id", "r")
+    kept = found.withColumn("n", F.row_number().over(w)).where("n = 1").select(F.col("r").alias("__r"))
+    return docs.withColumn("__r", row_key()).join(kept, "__r").dropDuplicates(["__r"]).select(*docs.columns)
+
+
 def _rest(dealt: DataFrame, labels: DataFrame, k: int, percent: int, chunk: int) -> DataFrame | None:
     """Links of what isn't in the largest component of its divided block, with all chunks of the block."""
     marked = dealt.select("block", "chunks", "own", "class_id").join(labels, F.col("class_id") == F.col("node")).drop("node")

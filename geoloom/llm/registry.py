@@ -33,7 +33,7 @@ def op6_pii_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op8_sentencepiece_match(spark: SparkSession, sf_dir: str) -> DataFrame:

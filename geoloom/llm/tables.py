@@ -13,10 +13,15 @@ from pyspark.sql import functions as F
 BATCH_ROWS, BATCH_BYTES = 400, 8 << 20
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the data folder; Arrow batches are kept small, as texts can be long."""
+def small_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches small, as texts can be long."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the data folder."""
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

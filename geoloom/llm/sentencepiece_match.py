@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from geoloom.llm.tables import texts
 
 SPACE = "▁"
-FLUSH, REMEMBERED, LONG = 400_000, 400_000, 400
+FLUSH, REMEMBERED, LONG, GATHER = 400_000, 800_000, 400, 4 << 20
 SEPARATOR = 0xFF  # in no UTF-8 text
 
 
@@ -65,10 +65,14 @@ class Vocabulary:
         crossing = any(SPACE in t.lstrip(SPACE) for t in (b.decode() for b in self.bytes))
         stops = "" if "\n" in inside else "\n"
         self.segments = re.compile(rf"{SPACE}+[^{SPACE}{stops}]*|[^{SPACE}{stops}]+" + (f"|{stops}" if stops else "")) if not crossing else re.compile(r"(?s).+")
-        self.head = tuple(self._key([b[k : k + 8] for b in self.bytes], pad) for k in (0, 8) for pad in (b"\0", b"\xff"))
+        self.low, self.high, self.rest = (self._key([b[k : k + 8] for b in self.bytes], pad) for k, pad in ((0, b"\0"), (0, b"\xff"), (8, b"\0")))
+        self.mask = self._key([b"\xff" * min(8, max(0, len(b) - 8)) for b in self.bytes], b"\0")
         self.out = [b"" if special[i] else bytes([int(names[i][3:-1], 16)]) if is_byte[i] else names[i].encode() for i in range(self.size)]
         if self.unknown >= 0:
             self.out[self.unknown] = " ⁇ ".encode()
+        self.out_length = np.array([len(x) for x in self.out])
+        self.out_start = np.cumsum(self.out_length) - self.out_length
+        self.out_bytes = np.frombuffer(b"".join(self.out), np.uint8)
 
     @staticmethod
     def _key(parts: list[bytes], pad: bytes) -> np.ndarray:
@@ -85,32 +89,27 @@ class Vocabulary:
         k = np.zeros(n + 9, np.uint64)
         for i in range(8):
             k = (k << np.uint64(8)) | padded[i : i + n + 9]
-        first, second = k[:n], k[8 : n + 8] if n > 0 else k[:0]
-        suffixes = np.lexsort((second, first))
-        a, c = first[suffixes], second[suffixes]
-
-        def bound(p: np.ndarray, q: np.ndarray, after: bool) -> np.ndarray:
-            low, high = np.zeros(len(p), np.int64), np.full(len(p), n)
-            while (low < high).any():
-                mid = (low + high) >> 1
-                at = np.minimum(mid, n - 1)
-                before = (a[at] < p) | (a[at] == p) & ((c[at] <= q) if after else (c[at] < q))
-                go = low < high
-                low, high = np.where(go & before, mid + 1, low), np.where(go & ~before, mid, high)
-            return low
-
-        low = bound(self.head[0], self.head[2], False)
-        count = bound(self.head[1], self.head[3], True) - low
+        first, second = k[:n], k[8:]
+        suffixes = np.argsort(first)
+        a = first[suffixes]
+        low = np.searchsorted(a, self.low)
+        count = np.searchsorted(a, self.high, "right") - low
         piece = np.repeat(np.arange(len(count)), count)
         start = suffixes[np.repeat(low - np.concatenate(([0], np.cumsum(count)[:-1])), count) + np.arange(len(piece))]
-        long = np.flatnonzero(self.lengths[piece] > 16)
-        if len(long):
-            raw = b.tobytes()
-            wrong = [i for i in long if raw[start[i] : start[i] + self.lengths[piece[i]]] != self.bytes[piece[i]]]
-            start, piece = np.delete(start, wrong), np.delete(piece, wrong)
-        length = self.lengths[piece]
-        order = np.lexsort((length, start))
-        return start[order], length[order], piece[order]
+        # a range agrees on eight bytes; the rest of longer pieces is compared
+        long = np.flatnonzero(self.lengths[piece] > 8)
+        at, of = np.minimum(start[long], n), piece[long]
+        fits = (second[at] & self.mask[of]) == self.rest[of] if n > 8 else self.lengths[of] <= 8
+        raw = b.tobytes()
+        for i in np.flatnonzero(fits & (self.lengths[of] > 16)).tolist():
+            fits[i] = raw[at[i] : at[i] + self.lengths[of[i]]] == self.bytes[of[i]]
+        wrong = long[~fits]
+        start, piece = np.delete(start, wrong), np.delete(piece, wrong)
+        edge = np.sort(start << 24 | self.lengths[piece] << 18 | piece) if self.longest < 64 and len(self.bytes) < 1 << 18 else None
+        if edge is not None:
+            return edge >> 24, edge >> 18 & 63, edge & ((1 << 18) - 1)
+        order = np.lexsort((self.lengths[piece], start))
+        return start[order], self.lengths[piece[order]], piece[order]
 
     def encode_segments(self, segments: list[str]) -> list[np.ndarray]:
         raw = [s.encode() for s in segments]
@@ -175,8 +174,9 @@ class Vocabulary:
             groups = np.unique(of)
             cuts = np.searchsorted(of, groups)
             bad = np.unique(of[ids < 0])
-            for g, x in zip(groups.tolist(), np.split(ids, cuts[1:]), strict=True):
-                out[g] = x
+            cuts = [*cuts.tolist(), len(ids)]
+            for g, a, c in zip(groups.tolist(), cuts, cuts[1:], strict=False):
+                out[g] = ids[a:c]
             for g in bad.tolist():
                 mine = slice(np.searchsorted(of, g), np.searchsorted(of, g, "right"))
                 out[g] = self._spell(b, at, s[mine], e[mine])
@@ -234,31 +234,52 @@ class Vocabulary:
         return self._spell(b, at, np.array([x for x, _ in ends]), np.array([y for _, y in ends]))
 
     def decode(self, ids: np.ndarray) -> str:
-        text = b"".join(map(self.out.__getitem__, ids.tolist())).decode("utf-8", "replace").replace(SPACE, " ")
+        length = self.out_length[ids]
+        first = self.out_start[ids] - (np.cumsum(length) - length)
+        text = self.out_bytes[np.repeat(first, length) + np.arange(length.sum())].tobytes().decode("utf-8", "replace").replace(SPACE, " ")
         return text.removeprefix(" ")
 
 
 class Encoder:
-    """Encodes texts; remembers a bounded number of segments."""
+    """Encodes texts; remembers a bounded number of segments, each as the bytes of its ids."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known: dict[str, np.ndarray] = {}
+        self.known: dict[str, bytes] = {}
+
+    def _learn(self, new: list[str]) -> None:
+        self.known.update((s, ids.tobytes()) for s, ids in zip(new, self.vocabulary.encode_segments(new), strict=True))
 
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
         cut = [self.vocabulary.prepare(t) for t in batch]
-        new, size, known = [], 0, self.known
-        for s in {s for segments in cut for s in segments if s not in known}:
+        known, new, size = self.known, [], 0
+        for s in set().union(*cut).difference(known):
             new.append(s)
-            size += 4 * len(s)
+            size += len(s) + 4
             if size > FLUSH:
-                known.update(zip(new, self.vocabulary.encode_segments(new), strict=True))
+                self._learn(new)
                 new, size = [], 0
         if new:
-            known.update(zip(new, self.vocabulary.encode_segments(new), strict=True))
-        return [np.concatenate([known[s] for s in segments]) if segments else np.zeros(0, np.int32) for segments in cut]
+            self._learn(new)
+        get = known.__getitem__
+        return [np.frombuffer(b"".join(map(get, segments)), np.int32) for segments in cut]
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], list[str]]]:
+    """Some batches at a time, with their texts: the more a suffix array covers, the less a search costs."""
+    held, whole, size = [], [], 0
+    for batch in batches:
+        held.append(batch)
+        for t in texts(batch, "text"):
+            whole.append(t.decode())
+            size += len(t)
+        if size > GATHER:
+            yield held, whole
+            held, whole, size = [], [], 0
+    if held:
+        yield held, whole
 
 
 def encode(docs: DataFrame, model_file: str | None = None, digest: bool = False) -> DataFrame:
@@ -280,15 +301,17 @@ def encode(docs: DataFrame, model_file: str | None = None, digest: bool = False)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Vocabulary(shared.value))
-        for batch in batches:
-            whole = [t.decode() for t in texts(batch, "text")]
-            ids = encoder.encode(whole)
-            if digest:
-                back = [encoder.vocabulary.decode(x) == t for x, t in zip(ids, whole, strict=True)]
-                more = [pa.array([len(x) for x in ids], pa.int64()), pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids], pa.string()), pa.array(back, pa.bool_())]
-            else:
-                more = [pa.array(ids, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), *more], names=[*names, *(a.name for a in added)])
+        for held, whole in _gathered(batches):
+            ids, at = encoder.encode(whole), 0
+            for batch in held:
+                mine, own = ids[at : at + batch.num_rows], whole[at : at + batch.num_rows]
+                at += batch.num_rows
+                if digest:
+                    back = [encoder.vocabulary.decode(x) == t for x, t in zip(mine, own, strict=True)]
+                    more = [pa.array([len(x) for x in mine], pa.int64()), pa.array([hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in mine], pa.string()), pa.array(back, pa.bool_())]
+                else:
+                    more = [pa.array(mine, pa.list_(pa.int32()))]
+                yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), *more], names=[*names, *(a.name for a in added)])
 
     return docs.select(*names).mapInArrow(run, StructType([*kept, *added]))
 

@@ -8,6 +8,9 @@ Each round is written to the shared folder, which bounds the lineage.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,19 +26,42 @@ def _state(edges: DataFrame) -> tuple:
     return row["n"], row["h"]
 
 
-def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
+def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Union-find over a bounded edge table: (u, least node reached) for every node that isn't the least."""
+    low: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := low.get(x, x)) != x:
+            low[x] = x = low.get(up, up)
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = root(a), root(b)
+            if a != b:
+                low[max(a, b)] = min(a, b)
+    yield pa.RecordBatch.from_arrays([pa.array(list(low), pa.int64()), pa.array([root(x) for x in low], pa.int64())], names=["u", "v"])
+
+
+def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60, finish: int = 0) -> DataFrame:
     """(node, component) for every node of ``edges``; component is the smallest node reached.
 
+    Once no more than ``finish`` edges are left, one task settles them; 0 keeps every round distributed.
+
     Self loops keep a lone node in the result. Rows with a null end are ignored; repeated edges and an
     empty table are fine.
     """
     pairs = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u is not null and v is not null")
+    pairs = materialize(pairs)  # read twice below
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
     work = materialize(pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = _state(work)
     for _ in range(max_rounds):
         if not seen[0]:
             break
+        if seen[0] <= finish:
+            work = materialize(work.repartition(1).mapInArrow(_solve, "u long, v long"))
+            break
         both = _both(work)
         low = both.groupBy("u").agg(F.min("v").alias("m"))
         # large star: neighbours above u are tied to the least of u and its neighbours

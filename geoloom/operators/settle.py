@@ -5,11 +5,13 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.functions import columns as geo
 from geoloom.functions.grid import GridSpec
+from geoloom.functions.kernel import geodesic_distance
 from geoloom.operators import joins
 
 CELL = ["rx", "ry"]
@@ -119,3 +121,29 @@ def corner_shape(grid: GridSpec, radius: float = 0.8, quad_segs: int = 4) -> Col
         shape = F.array(F.array(ring))
         out = F.when(F.col("corner") == corner, shape) if out is None else out.when(F.col("corner") == corner, shape)
     return out
+
+
+def projection_accuracy(spark, minx: float, miny: float, maxx: float, maxy: float, n: int = 12) -> DataFrame:
+    """(box, projection, mean_error): mean difference between plane and geodesic distance over all pairs of an n x n lattice.
+
+    Box 0 is the whole extent, 1 to 5 are small boxes at its corners and centre. n is a parameter, so the
+    pairs are bounded.
+    """
+    w, h = maxx - minx, maxy - miny
+    boxes = [(minx, miny, w, h), *[(minx + fx * w * 0.9, miny + fy * h * 0.9, w / 10, h / 10) for fx, fy in ((0, 0), (1, 0), (0.5, 0.5), (0, 1), (1, 1))]]
+    rows = [(b, k, x + bw * (k % n) / (n - 1), y + bh * (k // n) / (n - 1)) for b, (x, y, bw, bh) in enumerate(boxes) for k in range(n * n)]
+    p = spark.createDataFrame(rows, "box int, k int, lon double, lat double")
+    cx, cy = minx + w / 2, miny + h / 2
+    zone = F.lit(math.ceil((cx + 180) / 6) * 6.0 - 183.0)
+    kinds = {"utm": geo.transverse_mercator("lon", "lat", zone), "tm": geo.transverse_mercator("lon", "lat", F.lit(cx), 1.0, 0.0), "laea": geo.laea("lon", "lat", cx, cy), "mercator": geo.web_mercator("lon", "lat")}
+    p = p.select("*", F.create_map(*[v for name, (x, y) in kinds.items() for v in (F.lit(name), F.struct(x.alias("x"), y.alias("y")))]).alias("at"))
+
+    @F.arrow_udf("double")
+    def geodesic(a: pa.Array, b: pa.Array, c: pa.Array, d: pa.Array) -> pa.Array:
+        return pa.array([geodesic_distance(*q) for q in zip(*(v.to_pylist() for v in (a, b, c, d)), strict=True)])
+
+    l, r = p.alias("l"), p.alias("r")
+    pairs = l.join(r, (F.col("l.box") == F.col("r.box")) & (F.col("l.k") < F.col("r.k"))).select(F.col("l.box").alias("box"), F.col("l.at").alias("s"), F.col("r.at").alias("t"), geodesic("l.lon", "l.lat", "r.lon", "r.lat").alias("true"))
+    each = pairs.select("box", "true", "t", F.explode("s").alias("projection", "u")).withColumn("v", F.col("t")[F.col("projection")])
+    plane = F.sqrt(F.pow(F.col("u.x") - F.col("v.x"), 2) + F.pow(F.col("u.y") - F.col("v.y"), 2))
+    return each.groupBy("box", "projection").agg(F.round(F.avg(F.abs(plane - F.col("true"))), 3).alias("mean_error"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import columns as geo
 from geoloom.functions.grid import GridSpec
-from geoloom.operators import compare, joins, raster, settle
+from geoloom.operators import compare, joins, raster, settle, vector
 from geoloom.plans import inputs as i
 
 QUERIES: dict = {}
@@ -401,3 +401,65 @@ def corner_shapes(spark: SparkSession, d: str) -> DataFrame:
        + "SELECT sign, CAST(floor((upto-1)*least(155,total)/total) AS INTEGER) AS bin, max(v) AS upper FROM rk GROUP BY ALL")
 def color_ramp(spark: SparkSession, d: str) -> DataFrame:
     return raster.color_ramp(raster.diff(i.counts(spark, d), i.parts(spark, d)))
+
+
+# kernels: SQL has no counterpart, tests hold them against points, areas and invariants -------------------
+def _shapes(spark: SparkSession, d: str) -> DataFrame:
+    """Footprints as octagons with integer vertices, in micro-degrees."""
+    f = i.footprints(spark, d)
+    a, b, c, e = (F.col(n) for n in ("minx", "miny", "maxx", "maxy"))
+    corners = [(a + 20, b), (c - 20, b), (c, b + 20), (c, e - 20), (c - 20, e), (a + 20, e), (a, e - 20), (a, b + 20), (a + 20, b)]
+    return f.select("fid", "site", F.array(F.array(F.array(*[geo.point(x, y) for x, y in corners]))).alias("geom"))
+
+
+@query(W(i.SQL_FP) + "SELECT fid, fid AS orig_fid, CAST(2 AS INTEGER) AS polys, CAST(w*h AS DOUBLE)/2 AS area FROM fp")
+def fix_geom(spark: SparkSession, d: str) -> DataFrame:
+    """Each footprint as a bow tie, which repair turns into two triangles."""
+    a, b, c, e = (F.col(n) for n in ("minx", "miny", "maxx", "maxy"))
+    bow = F.array(F.array(F.array(geo.point(a, b), geo.point(c, e), geo.point(c, b), geo.point(a, e), geo.point(a, b))))
+    fixed = vector.fix_geom(i.footprints(spark, d).select("fid", bow.alias("geom")))
+    return fixed.select("fid", "orig_fid", F.size("geom").alias("polys"), F.round(geo.area("geom"), 3).alias("area"))
+
+
+@query()
+def buffer_m(spark: SparkSession, d: str) -> DataFrame:
+    degrees = vector.transform("geom", lambda x, y: (x / 1e6 + 3, y / 1e6 + 6))
+    out = vector.buffer_metres(_shapes(spark, d).withColumn("geom", degrees), 50, 2)
+    return out.select("fid", F.size("geom").alias("polys"), F.round(geo.spherical_area("geom"), 1).alias("area_m2"))
+
+
+@query()
+def dissolve(spark: SparkSession, d: str) -> DataFrame:
+    out = vector.dissolve(_shapes(spark, d), 800, no_holes=True)
+    return out.select("orig_fid", "n", F.size("geom").alias("polys"), F.round(geo.area("geom"), 1).alias("area"))
+
+
+@query()
+def fill_centres(spark: SparkSession, d: str) -> DataFrame:
+    groups = vector.group_polygons(_shapes(spark, d), 30, 400)
+    out = vector.fill_centres(groups, i.GRID)
+    return out.select("id", "poly_count", F.size("geom").alias("polys"), F.round(geo.area("geom"), 1).alias("area"))
+
+
+@query()
+def contour_rings(spark: SparkSession, d: str) -> DataFrame:
+    out = vector.contour_rings(i.counts(spark, d), i.GRID, 12)
+    return out.select("is_hole", F.round(geo.area("geom"), 3).alias("area"), F.round("minx", 6).alias("minx"), F.round("miny", 6).alias("miny"))
+
+
+@query()
+def grid_slice_polygons(spark: SparkSession, d: str) -> DataFrame:
+    out = vector.grid_slice(_shapes(spark, d), i.GRID, "fid")
+    return out.select("id", "rx", "ry", F.round(geo.area("geom"), 3).alias("area"))
+
+
+@query()
+def simplify(spark: SparkSession, d: str) -> DataFrame:
+    out = vector.simplify(_shapes(spark, d), 25)
+    return out.select("fid", F.size(F.col("geom")[0][0]).alias("vertices"), geo.area("geom").alias("area"))
+
+
+@query()
+def proj_accuracy(spark: SparkSession, d: str) -> DataFrame:
+    z = i.zones1(spark, d).agg(F.min("minx").alias("a"), F.min("miny").alias("b"), F.max("maxx").alias("c"), F.max("maxy").alias("e")).first()
+    return settle.projection_accuracy(spark, z["a"] / 1e6 + 3, z["b"] / 1e6 + 6, z["c"] / 1e6 + 3, z["e"] / 1e6 + 6)

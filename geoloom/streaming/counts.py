@@ -11,7 +11,7 @@ from geoloom.functions.grid import GridSpec
 def event_cells(events: DataFrame, grid: GridSpec) -> DataFrame:
     """Cells (rx, ry) of events (event_id, user_id, ts), by the same arithmetic as the batch inputs."""
     x, y = F.col("user_id") * 7919 % 440000, F.col("event_id") * 104729 % 376000
-    return events.select("ts", grid.cell_x(x).alias("rx"), grid.cell_y(y).alias("ry")).where(grid.inside("rx", "ry"))
+    return events.select(F.col("ts").cast("timestamp").alias("ts"), grid.cell_x(x).alias("rx"), grid.cell_y(y).alias("ry")).where(grid.inside("rx", "ry"))
 
 
 def windowed_counts(events: DataFrame, grid: GridSpec, window: str = "1 hour", late: str = "2 hours") -> DataFrame:

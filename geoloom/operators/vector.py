@@ -146,7 +146,9 @@ def simplify(layer: DataFrame, tolerance: float) -> DataFrame:
 def _unite(layer: DataFrame, keys: list[str], strip: bool) -> DataFrame:
     def f(key: tuple, rows: pa.Table) -> list[tuple]:
         geoms = [read(g) for g in rows["geom"].to_pylist()]
-        g = kernel.union([kernel.remove_holes(x) for x in geoms] if strip else geoms)
+        if strip:
+            geoms = [kernel.remove_holes(x) for x in geoms]
+        g = geoms[0] if len(geoms) == 1 and len(geoms[0]) == 1 else kernel.union(geoms)
         return [(*key, write(kernel.remove_holes(g) if strip else g), sum(rows["n"].to_pylist()))]
 
     kinds = dict(layer.dtypes)

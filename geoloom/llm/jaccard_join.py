@@ -28,8 +28,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.llm import texthash
-from geoloom.llm.tables import groups, row_key, texts
+from geoloom.llm.tables import row_key, texts
 from geoloom.operators.graph import connected_components
+from geoloom.plans.batches import groups
 from geoloom.plans.materialize import materialize
 
 BANDS, ROWS, BITS, FAN = 40, 3, 1024, 16

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoloom.llm.tables import groups
+from geoloom.plans.batches import groups
 from geoloom.plans.materialize import materialize
 
 PIVOTS, PREFIX, STEPS, SAMPLE = 128, 32, 4, 1024

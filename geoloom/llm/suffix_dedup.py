@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm import texthash
-from geoloom.llm.tables import groups, row_key, texts
+from geoloom.llm.tables import row_key, texts
+from geoloom.plans.batches import groups
 from geoloom.plans.materialize import materialize
 
 GRAM = 50

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,22 +32,3 @@ def texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The UTF-8 bytes of a string or binary column; null counts as empty."""
     column = batch.column(batch.schema.get_field_index(name))
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
-
-
-def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
-    """Runs of equal keys in a sorted stream of batches: (key, rows). One run is held at a time."""
-    held, key = [], None
-    for batch in batches:
-        columns = list(zip(*(batch.column(batch.schema.get_field_index(k)).to_pylist() for k in keys), strict=True))
-        start = 0
-        for i in range(1, len(columns) + 1):
-            if i < len(columns) and columns[i] == columns[start]:
-                continue
-            if held and columns[start] != key:
-                yield key, pa.Table.from_batches(held)
-                held = []
-            key = columns[start]
-            held.append(batch.slice(start, i - start))
-            start = i
-    if held:
-        yield key, pa.Table.from_batches(held)

@@ -111,3 +111,19 @@ def test_sanitised_texts(spark):
     assert not any(base(t) for t in by.values() if t)
     empty = spark.createDataFrame([], SCHEMA)
     assert pii.query(empty).count() == pii.sanitise(empty).count() == 0
+
+
+def test_entities_of_one_and_two_documents(spark):
+    rows = [(i, f"you may ask for an ordinary text at home {i}", "", "") for i in range(1200)]
+    rows += [(2000, "ask Trillian at t@one.org for an ordinary text", "", ""), (2001, "may ask at home", "", "")]
+    rows += [(2010 + i, f"ask Marvin at m@two.org for an ordinary text{"!" * i}", "", "") for i in range(2)]
+    got = {r["doc_id"]: r["spans"] for r in pii.query(spark.createDataFrame(rows, SCHEMA)).collect() if r["spans"]}
+    assert got == {2000: "term:4:12,email:16:25", 2010: "term:4:10,email:14:23", 2011: "term:4:10,email:14:23"}
+
+
+def test_places_in_long_texts(spark):
+    text = "word " * 700 + "Slartibartfast 😀 s@far.org Slartibartfast" + ", other" * 600 + " Slartibartfast"
+    rows = [(i, f"word other {i}", "", "") for i in range(1200)] + [(2000, text, "", "")]
+    got = {r["doc_id"]: r["spans"] for r in pii.query(spark.createDataFrame(rows, SCHEMA)).collect()}
+    want = [f"term:{m.start()}:{m.end()}" for m in re.finditer("Slartibartfast", text)]
+    assert [x for x in got[2000].split(",") if x.startswith("term")] == want

@@ -1,8 +1,8 @@
 """Personal data and the terms that disclose it, with DataFrame functions only.
 
 Emails, IP addresses, card and phone numbers are found by pattern. Each distinct value is a protected
-entity. For every entity the terms within ``CONTEXT`` code points of its occurrences are counted by
-document, and over the whole corpus every such term's document frequency. A term t reveals of an entity
+entity. For every entity the documents that hold both it and a term are counted, wherever in the text the
+two stand, and over the whole corpus every such term's document frequency. A term t reveals of an entity
 e the information log2(P(e|t) / P(e)) out of the -log2 P(e) bits that identify e. Where that share
 reaches ``GENERALISE`` the term is generalised, from ``REMOVE`` on it is removed, at every place it stands,
 whichever document. Entities and pairs count from one document on; against chance P(e|t) is estimated with
@@ -23,9 +23,9 @@ from geoloom.llm.tables import row_key
 from geoloom.plans.materialize import materialize
 
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT, GENERALISE, REMOVE, DISCOUNT = 60, 0.8, 0.95, 2 / 3
+GENERALISE, REMOVE, DISCOUNT = 0.8, 0.95, 2 / 3
 SUPPORT = 3  # nothing is cut by it here; from so many documents on the tests compare with the plain estimate
-BROADCAST_TERMS = 20_000
+BROADCAST_TERMS, BROADCAST_HASHES = 20_000, 1 << 20
 RUN = 256  # words of a text whose places are found at a time
 # Possessive forms of the contract's patterns: the classes that follow each other exclude each other, so
 # nothing could be given back. A match starts where a run starts, or where the last match ended.
@@ -82,55 +82,81 @@ def _entity(kind: str, value: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), F.lower(value) if kind == "email" else value if kind == "ip" else _digits(value))
 
 
-def _terms(text: Column, start: Column, end: Column) -> Column:
-    """Distinct terms around a place; words that the edge cuts and other personal data are left out."""
-    left = F.substring(text, F.greatest(F.lit(1), start - CONTEXT + 1), F.least(start, F.lit(CONTEXT)))
-    left = F.when(start > CONTEXT, F.regexp_replace(left, r"^\S*", "")).otherwise(left)
-    right = F.substring(text, end + 1, F.lit(CONTEXT))
-    right = F.when(F.length(right) == CONTEXT, F.regexp_replace(right, r"\S*$", "")).otherwise(right)
-    both = F.concat(left, F.lit(" "), right)
-    for p in PATTERNS.values():
-        both = F.regexp_replace(both, p, " ")
-    return F.array_distinct(F.regexp_extract_all(both, F.lit(WORD), F.lit(0)))
+def _words(text: Column | str) -> Column:
+    return F.array_distinct(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
 
 
 def base_places(docs: DataFrame) -> DataFrame:
-    """r (row key), h (hash of the text), doc_id and the places of each kind for every row, with the terms around each place."""
+    """r (row key), h (hash of the text), doc_id, the places of each kind, the entities and, beside any, the distinct terms of every row.
+
+    Words inside personal data are no terms.
+    """
     text = F.coalesce("text", F.lit(""))
     found = docs.select(row_key().alias("r"), F.xxhash64(text).alias("h"), "doc_id", text.alias("t")).select("r", "h", "doc_id", "t", *[c.alias(k) for k, c in _base(F.col("t")).items()])
 
-    def around(kind: str) -> Column:
-        return F.transform(kind, lambda p: F.struct(_entity(kind, p["value"]).alias("entity"), _terms(F.col("t"), p["start"], p["end"]).alias("terms")))
+    def values(kind: str) -> Column:
+        return F.transform(kind, lambda p: _entity(kind, p["value"]))
+
+    entities = F.array_distinct(F.concat(*[values(k) for k in PATTERNS]))
+    rest = F.col("t")
+    for p in PATTERNS.values():
+        rest = F.regexp_replace(rest, p, " ")
+    found = found.select("r", "h", "doc_id", "t", *PATTERNS, entities.alias("entities"))
+    return found.select("r", "h", "doc_id", *PATTERNS, "entities", F.when(F.size("entities") > 0, _words(rest)).alias("terms"))
+
+
+def _of_hash(words: DataFrame, terms: DataFrame) -> DataFrame:
+    """``words`` without most of those that aren't in ``terms``, so that few are shuffled; all of them for very many terms."""
+    if terms.count() > BROADCAST_HASHES:
+        return words
+    hashes = terms.select(F.xxhash64("term").alias("__h")).distinct()
+    return words.join(F.broadcast(hashes), F.xxhash64("term") == F.col("__h"), "left_semi")
+
 
-    return found.select("r", "h", "doc_id", *PATTERNS, F.concat(*[around(k) for k in PATTERNS]).alias("around"))
+def _held_by(rows: DataFrame, name: str) -> DataFrame:
+    """For each value of ``name`` its number of documents (h) and 128 bits that tell sets of documents apart."""
+    return rows.groupBy(name).agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.bit_xor(F.xxhash64("h", F.lit(1))).alias("y"))
 
 
 def disclosing_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
-    """(term, disclosure): the greatest share of any entity's information that a term reveals, from GENERALISE on."""
+    """(term, disclosure): the greatest share of any entity's information that a term reveals, from GENERALISE on.
+
+    Entities that stand in the same documents, and terms that do, are compared once for all, so a document
+    of many entities and rare words gives few pairs.
+    """
     total = base.select("h").distinct().count()
-    near = base.where(F.size("around") > 0).dropDuplicates(["h"]).select("h", F.explode("around").alias("x")).select("h", "x.entity", "x.terms")
-    of_entity = near.select("entity", "h").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    joint = near.select("h", "entity", F.explode("terms").alias("term")).distinct().groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    joint = materialize(joint.join(of_entity, "entity"))
-    candidates = joint.select("term").distinct()
+    near = materialize(base.where(F.size("entities") > 0).dropDuplicates(["h"]).select("h", "entities", "terms"))
+    entities, terms = near.select("h", F.explode("entities").alias("entity")), near.select("h", F.explode("terms").alias("term"))
+    of_entity = _held_by(entities, "entity").groupBy("n", "x", "y").agg(F.min("entity").alias("entity")).select("entity", F.col("n").alias("n_entity"))
+    most = of_entity.agg(F.max("n_entity")).first()[0] or 0
+    of_near = materialize(_held_by(terms, "term"))
     whole = docs.select(F.coalesce("text", F.lit("")).alias("t")).withColumn("h", F.xxhash64("t")).dropDuplicates(["h"])
-    words = whole.select(F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit(WORD), F.lit(0)))).alias("term"))
-    if candidates.count() <= BROADCAST_TERMS:
-        words = words.join(F.broadcast(candidates), "term", "left_semi")
-        of_term = words.groupBy("term").agg(F.count("*").alias("n_term"))
-    else:
-        of_term = words.groupBy("term").agg(F.count("*").alias("n_term")).join(candidates, "term", "left_semi")
-    information = -F.log2(F.col("n_entity") / F.lit(float(max(total, 1))))
-    revealed = F.log2((F.col("n_both") - DISCOUNT) * F.lit(float(total)) / (F.col("n_term") * F.col("n_entity")))
-    share = joint.join(of_term, "term").withColumn("share", F.when(information > 0, revealed / information).otherwise(0.0))
-    return share.where(F.col("share") >= GENERALISE).groupBy("term").agg(F.max("share").alias("disclosure"))
+    words = whole.select(F.explode(_words("t")).alias("term"))
+    of_term = _of_hash(words, of_near).groupBy("term").agg(F.count("*").alias("n_term"))
+    documents = float(max(total, 1))
+
+    def possible(n_entity: Column) -> Column:
+        """Whether the share can be reached: n_both is at most n and n_entity."""
+        return F.col("n_term") * F.pow(n_entity / documents, F.lit(1 - GENERALISE)) * 0.999 <= F.least("n", n_entity) - DISCOUNT
+
+    # of all entities one of n documents, or the largest if that has fewer, would reach it first
+    can = materialize(of_near.join(of_term, "term").where(possible(F.least("n", F.lit(most)))))
+    alike = ["n", "x", "y", "n_term"]
+    one = can.groupBy(*alike).agg(F.min("term").alias("term"))
+    left, right = terms.join(one.select("term", "n", "n_term"), "term"), entities.join(of_entity, "entity")
+    pairs = left.join(right, "h").where(possible(F.col("n_entity"))).groupBy("term", "n_term", "entity", "n_entity").agg(F.count("*").alias("n_both"))
+    information = -F.log2(F.col("n_entity") / documents)
+    revealed = F.log2((F.col("n_both") - DISCOUNT) * documents / (F.col("n_term") * F.col("n_entity")))
+    share = pairs.withColumn("share", F.when(information > 0, revealed / information).otherwise(0.0)).where(F.col("share") >= GENERALISE)
+    best = share.groupBy("term").agg(F.max("share").alias("disclosure"))
+    return can.join(one.join(best, "term").drop("term"), alike).select("term", "disclosure")
 
 
 def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(r, term places): where the terms stand in each text, as whole words."""
     whole = docs.select(row_key().alias("r"), F.coalesce("text", F.lit("")).alias("t"))
     words = whole.select("r", F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit(WORD), F.lit(0)))).alias("term"))
-    held = words.join(F.broadcast(terms) if terms.count() <= BROADCAST_TERMS else terms, "term")
+    held = words.join(F.broadcast(terms), "term") if terms.count() <= BROADCAST_TERMS else _of_hash(words, terms).join(terms, "term")
     held = held.groupBy("r").agg(F.collect_set(F.struct("term", "disclosure")).alias("held"))
     held = held.select("r", F.transform("held", lambda x: x["term"]).alias("terms"), F.map_from_entries("held").alias("told"))
     # a run ends behind a word, so no word is cut; each run is searched for the terms it holds only
@@ -160,7 +186,7 @@ def find(docs: DataFrame) -> DataFrame:
     base = materialize(base_places(docs))
     terms = materialize(disclosing_terms(docs, base))
     added = term_places(docs, terms)
-    joined = base.drop("around", "h").join(added, "r", "left")
+    joined = base.drop("entities", "terms", "h").join(added, "r", "left")
 
     joined = joined.withColumn("known", _known({k: k for k in PATTERNS}))
     free = F.filter(

@@ -127,3 +127,30 @@ def test_places_in_long_texts(spark):
     got = {r["doc_id"]: r["spans"] for r in pii.query(spark.createDataFrame(rows, SCHEMA)).collect()}
     want = [f"term:{m.start()}:{m.end()}" for m in re.finditer("Slartibartfast", text)]
     assert [x for x in got[2000].split(",") if x.startswith("term")] == want
+
+
+def test_terms_far_from_the_entity(spark):
+    rows = [(i, f"you may ask for an ordinary text at home {i}", "", "") for i in range(1200)]
+    text = "Zarniwoop says " + "an ordinary text " * 20 + "z@guide.org " + "at home " * 20
+    rows.append((2000, text, "", ""))
+    got = {r["doc_id"]: r["spans"] for r in pii.query(spark.createDataFrame(rows, SCHEMA)).collect() if r["spans"]}
+    assert got == {2000: "term:0:9,term:10:14,email:355:366"}
+
+
+def test_disclosure_of_whole_documents_by_brute_force(spark):
+    rng = random.Random(4)
+    texts = [" ".join(["".join(rng.choices("abcdefgh", k=rng.randint(1, 5))) for _ in range(30)] + [f"p{rng.randint(1, 400)}@q.org" for _ in range(rng.randint(0, 3))]) for _ in range(700)]
+    docs = spark.createDataFrame([(i, t, "", "") for i, t in enumerate(texts + texts[:50])], SCHEMA)
+    got = {r["term"]: r["disclosure"] for r in pii.disclosing_terms(docs, pii.base_places(docs)).collect()}
+    entities, df, both = Counter(), Counter(), Counter()
+    for t in set(texts):
+        held = {v.lower() for *_, v in base(t)}
+        entities.update(held)
+        df.update(set(regex.findall(r"[\p{L}\p{M}]+", t)))
+        both.update((e, w) for e in held for w in set(regex.findall(r"[\p{L}\p{M}]+", re.sub(RULES["email"], " ", t))))
+    n, want = len(set(texts)), {}
+    for (e, w), x in both.items():
+        share = math.log2((x - pii.DISCOUNT) * n / (df[w] * entities[e])) / math.log2(n / entities[e])
+        if share >= pii.GENERALISE:
+            want[w] = max(share, want.get(w, 0))
+    assert want and got.keys() == want.keys() and all(abs(got[w] - want[w]) < 1e-9 for w in want)

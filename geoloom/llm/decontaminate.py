@@ -1,8 +1,9 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 A test item of m characters may differ from a passage of a document by at most ``budget(m)`` edits. Cut
-into that many pieces and one more, at least one piece survives any such passage unchanged. One automaton
-finds all pieces in one sweep over a text; around each hit Myers' bit-parallel algorithm (1999, in
+into more than half as many parts, at least one part has one edit or none, so one of its halves survives
+unchanged. One automaton finds all halves in one sweep over a text; where the other half stands beside
+with one edit at most, Myers' bit-parallel algorithm (1999, in
 Hyyro's form for words of any length) gives the least edit distance of the item to any substring.
 
 Texts and items are compared in normal form: lower case, every run of characters other than letters and
@@ -34,13 +35,35 @@ def normal(text: str) -> str:
 
 
 def budget(length: int, percent: int = PERCENT) -> int:
-    """Edits allowed: ``percent`` of the length, fewer where pieces would be shorter than ``SHORTEST``."""
-    return max(0, min(length * percent // 100, length // SHORTEST - 1))
+    """Edits allowed: ``percent`` of the length; none for items shorter than ``SHORTEST``."""
+    return length * percent // 100 if length >= SHORTEST else 0
 
 
-def pieces(item: str, edits: int) -> list[tuple[int, str]]:
-    cuts = [i * len(item) // (edits + 1) for i in range(edits + 2)]
-    return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
+def pieces(item: str, edits: int) -> list[tuple[int, str, str, bool]]:
+    """(place, piece, other half of its part, whether that follows): one piece and its part survive ``edits``."""
+    if not edits:
+        return [(0, item, "", True)]
+    n = 2 * (edits // 2 + 1)
+    cuts = [i * len(item) // n for i in range(n + 1)]
+    cut = [item[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [(cuts[i], cut[i], cut[i ^ 1], i % 2 == 0) for i in range(n)]
+
+
+def follows(text: str, at: int, want: str) -> bool:
+    """Whether ``want`` stands in ``text`` from ``at`` on with one edit at most."""
+    if text.startswith(want, at):
+        return True
+    i = 0
+    while at + i < len(text) and i < len(want) and text[at + i] == want[i]:
+        i += 1
+    rest = want[i + 1 :]
+    return text.startswith(rest, at + i + 1) or text.startswith(rest, at + i) or text.startswith(want[i:], at + i + 1)
+
+
+def inside_word(text: str, a: int, b: int) -> bool:
+    """Whether text[a:b] is cut out of a longer word of a script with cases, or of a longer number."""
+    joins = lambda x, y: all(c.isdigit() or c.lower() != c.upper() for c in (x, y))
+    return a > 0 and joins(text[a - 1], text[a]) or b < len(text) and joins(text[b - 1], text[b])
 
 
 class Myers:
@@ -83,10 +106,10 @@ class Matcher:
     def __init__(self, items: list[tuple[int, str]], percent: int):
         self.items = [(i, t, budget(len(t), percent)) for i, t in items]
         self.myers: dict[int, Myers] = {}
-        where: dict[str, list[tuple[int, int]]] = {}
+        where: dict[str, list[tuple[int, int, str, bool]]] = {}
         for n, (_, t, edits) in enumerate(self.items):
-            for at, piece in pieces(t, edits):
-                where.setdefault(piece, []).append((n, at))
+            for at, piece, other, after in pieces(t, edits):
+                where.setdefault(piece, []).append((n, at, other if after else other[::-1], after))
         self.automaton = ahocorasick.Automaton()
         for piece, places in where.items():
             self.automaton.add_word(piece, (len(piece), places))
@@ -99,13 +122,20 @@ class Matcher:
         if not self.any:
             return []
         diagonals: dict[int, list[int]] = {}
+        back = text[::-1]
         for end, (length, places) in self.automaton.iter(text):
-            for n, at in places:
-                diagonals.setdefault(n, []).append(end - length + 1 - at)
+            for n, at, other, after in places:
+                if follows(text, end + 1, other) if after else follows(back, len(text) - (end - length + 1), other):
+                    diagonals.setdefault(n, []).append(end - length + 1 - at)
         out = []
         for n, starts in diagonals.items():
             item_id, item, edits = self.items[n]
             best = None
+            if len(item) < SHORTEST:
+                ends = [s + len(item) for s in starts if not inside_word(text, s, s + len(item))]
+                if ends:
+                    out.append((item_id, 0, min(ends)))
+                continue
             windows: list[list[int]] = []
             for s in sorted(set(starts)):  # overlapping windows are verified as one
                 a, b = max(0, s - edits), min(len(text), s + len(item) + edits)
@@ -146,7 +176,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     held, size = [], 0
     for r in benchmark.select("item_id", "text").where("item_id is not null and text is not null").toLocalIterator():
         t = normal(r["text"])
-        if len(t) < SHORTEST:
+        if not t:
             continue
         if held and size + len(t) > BLOCK_CHARS:
             yield held
@@ -160,8 +190,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT)
     """``docs`` with a column hits (array of item_id, distance): the items that a passage of the text matches.
 
     docs: text and any other columns, which are kept (a column named hits is replaced). benchmark: item_id,
-    text. Null and empty texts match nothing; null items and items of fewer than ``SHORTEST`` characters
-    in normal form are no test of anything and are passed over. Repeated rows each get their hits.
+    text. Null and empty texts match nothing; null items and items without letters or digits
+    are passed over; items of fewer than ``SHORTEST`` characters match exactly, not inside a word. Repeated rows each get their hits.
     """
     from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 

@@ -60,3 +60,33 @@ def test_blocks_of_a_large_benchmark_and_empty_tables(spark, monkeypatch):
     monkeypatch.setattr(dc, "BLOCK_CHARS", 60)
     assert [(r["doc_id"], r["item_id"], r["distance"]) for r in dc.query(docs, bench).collect()] == [(1, 3, 0)]
     assert dc.query(docs, bench.limit(0)).count() == dc.query(docs.limit(0), bench).count() == 0
+
+
+def test_budget_is_ten_percent():
+    rng = random.Random(3)
+    for length, edits in ((16, 1), (20, 2), (31, 3), (79, 7), (96, 9), (100, 10), (233, 23)):
+        item = "".join(rng.choices("abcdefghijklmnop", k=length))
+        matcher = dc.Matcher([(1, item)], dc.PERCENT)
+        for n in (edits, edits + 1):
+            p = list(item)
+            for i in range(n):  # spread over the item, so no piece longer than the gaps survives
+                p[(2 * i + 1) * length // (2 * n)] = "Z"
+            assert [x[:2] for x in matcher.found("qq " + "".join(p) + " qq")] == ([(1, n)] if n == edits else [])
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abc", min_size=16, max_size=60), st.data())
+def test_no_passage_within_the_budget_is_missed(item, data):
+    p = list(item)
+    for _ in range(len(item) // 10):
+        at = data.draw(st.integers(0, len(p) - 1))
+        p[at : at + data.draw(st.integers(0, 1))] = data.draw(st.sampled_from(["", "b", "xx"[:1]]))
+    text = data.draw(st.text("abc", max_size=20)) + "".join(p) + data.draw(st.text("abc", max_size=20))
+    best = distance(item, text)
+    assert [x[:2] for x in dc.Matcher([(1, item)], dc.PERCENT).found(text)] == ([(1, best)] if best <= len(item) // 10 else [])
+
+
+def test_short_items_match_exactly(spark):
+    docs = spark.createDataFrame([(1, "A Short one.", "", ""), (2, "shorten", "", ""), (3, "他说短文在此了", "", ""), (4, "shart", "", "")], SCHEMA)
+    bench = spark.createDataFrame([(7, "short"), (8, "短文"), (9, "!"), (10, None)], "item_id long, text string")
+    assert sorted(map(tuple, dc.query(docs, bench).collect())) == [(1, 7, 0), (3, 8, 0)]

@@ -149,7 +149,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     pack = zstandard.ZstdCompressor(level=1)
     for batch in batches:
         yield pa.RecordBatch.from_arrays(
-            [batch.column(batch.schema.get_field_index("doc_id")), pa.array([pack.compress(t) for t in texts(batch, "text")], pa.binary())], names=["doc_id", "packed"]
+            [batch.column(batch.schema.get_field_index("r")), pa.array([pack.compress(t) for t in texts(batch, "text")], pa.binary())], names=["r", "packed"]
         )
 
 
@@ -196,10 +196,10 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, chunk: in
     blocks = materialize(blocks.select(F.col("node").alias("class_id"), F.col("component").alias("block")))
     sizes = blocks.groupBy("block").agg(F.count("*").alias("members"))
     first = filled.groupBy("class_id").agg(F.min("doc_id").alias("doc_id"))
-    wanted = blocks.join(sizes, "block").join(first, "class_id").select("class_id", "block", "members", "doc_id")
-    content = materialize(docs.mapInArrow(_packed, "doc_id long, packed binary").join(wanted, "doc_id"))
-    # a doc_id that stands on several texts could bring another class's text
-    content = content.where(F.col("class_id") == _class_of(k)("packed"))
+    # doc_id may be null or repeat, so a text is fetched by the key of its row
+    holder = filled.groupBy("class_id").agg(F.min("r").alias("r"))
+    wanted = blocks.join(sizes, "block").join(holder, "class_id").select("class_id", "block", "members", "r")
+    content = materialize(docs.select(row_key().alias("r"), "text").mapInArrow(_packed, "r long, packed binary").join(wanted, "r"))
     chunks = F.ceil(F.col("members") / chunk).cast("int")
     dealt = content.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int"))
     pivot = (F.col("class_id") == F.col("block")) | (F.pmod(F.xxhash64("class_id", F.lit(7)), F.greatest(F.lit(1), F.expr("members div 8"))) == 0)
@@ -248,15 +248,3 @@ def _rest(dealt: DataFrame, labels: DataFrame, k: int, percent: int, chunk: int)
     facing = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("chunk", F.col("own"))
     columns = ["block", "chunk", "part", "class_id", "packed"]
     return materialize(_linked(opened.select(columns).union(facing.select(columns)), k, percent))
-
-
-def _class_of(k: int):
-    @F.arrow_udf("long")
-    def class_of(packed: pa.Array) -> pa.Array:
-        unpack, out = zstandard.ZstdDecompressor(), []
-        for z in packed.to_pylist():
-            s = texthash.shingles(unpack.decompress(z), k)
-            out.append(int(texthash.mix(np.array([texthash.mix(s).sum() + np.uint64(len(s))], np.uint64)).view(np.int64)[0]) if len(s) else 0)
-        return pa.array(out, pa.int64())
-
-    return class_of

@@ -79,3 +79,13 @@ def test_one_of_each(spark):
     got = jaccard_join.one_of_each(docs)
     assert got.columns == docs.columns
     assert sorted(r["doc_id"] for r in got.collect()) == sorted({c for _, _, c in brute(rows)})
+
+
+def test_links_through_a_null_doc_id(spark):
+    part = lambda a: " ".join(f"w{i}" for i in range(a, a + 100))
+    rows = [(1, part(0)), (None, part(8)), (2, part(16))]  # the outer two are too far apart, 80 of 112
+    docs = spark.createDataFrame([(d, t, "en", "x") for d, t in rows], SCHEMA)
+    assert {r["component_id"] for r in jaccard_join.jaccard_components(docs).collect()} == {1}
+    assert jaccard_join.one_of_each(docs).count() == 1
+    pair = spark.createDataFrame([(None, part(0), "en", "x"), (None, part(8), "en", "x")], SCHEMA)
+    assert jaccard_join.one_of_each(pair).count() == 1

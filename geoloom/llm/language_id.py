@@ -14,10 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoloom.llm.tables import texts
+from geoloom.llm.tables import row_key, texts
 
 BUCKETS = 1 << 15
 UNDETERMINED = "und"
@@ -129,21 +129,25 @@ def learn(docs: DataFrame, sample_rows: int = 2400) -> Model | None:
     """The model of ``docs`` (doc_id, text, lang): rows with a null lang or doc_id teach nothing; None without rows.
 
     Document frequencies are of all rows. Weights are learned from about ``sample_rows`` rows, as many of
-    each language as far as there are, chosen by a hash of doc_id.
+    each language as far as there are: those of least hash of doc_id and text, repeated rows taken once.
     """
-    rows = docs.select("doc_id", "text", "lang").where("lang is not null and doc_id is not null")
-    per = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    rows = docs.select("doc_id", "text", "lang", row_key().alias("k")).where("lang is not null and doc_id is not null")
+    counted = rows.groupBy("lang").agg(F.count("*").alias("n"), F.countDistinct("k").alias("different")).collect()
+    per = {r["lang"]: r["different"] for r in counted}
     if not per:
         return None
-    languages, total = sorted(per), sum(per.values())
+    languages, total = sorted(per), sum(r["n"] for r in counted)
     df = np.zeros(BUCKETS)
     for r in rows.select("text").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         df[r["bucket"]] = r["n"]
     idf = np.log((1 + total) / (1 + df)) + 1
     each = max(20, sample_rows // len(languages))
-    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, each / per[lang]))])
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) < share[F.col("lang")] * float(1 << 40))
-    gathered = chosen.select(F.xxhash64("doc_id").alias("k"), "lang", "text").mapInArrow(_grams, "k long, lang string, at array<int>, counts array<int>").limit(4 * each * len(languages)).toArrow()
+    # twice as many as wanted by hash, of these the least of each language
+    share = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, 2 * each / per[lang]))])
+    place = F.pmod("k", F.lit(1 << 40))
+    chosen = rows.where(place < share[F.col("lang")] * float(1 << 40)).dropDuplicates(["k", "lang"])
+    chosen = chosen.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(place, "k"))).where(F.col("rank") <= each)
+    gathered = chosen.select("k", "lang", "text").mapInArrow(_grams, "k long, lang string, at array<int>, counts array<int>").toArrow()
     sample = [(k, lang, np.array(at), np.array(n)) for k, lang, at, n in zip(*(gathered[c].to_pylist() for c in ("k", "lang", "at", "counts")), strict=True) if at]
     return fit(languages, idf, [x[1:] for x in sorted(sample, key=lambda x: (x[0], x[1]))])
 

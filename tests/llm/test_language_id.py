@@ -42,3 +42,17 @@ def test_penalty_makes_weights_sparse():
     loose, tight = (li.fit(sorted(SYLLABLES), idf, rows, l1=x) for x in (0.001, 0.2))
     assert (tight.weights != 0).sum() < (loose.weights != 0).sum()
     assert tight.temperature > 0
+
+
+def test_sample_when_one_id_repeats_on_many_rows(spark, monkeypatch):
+    least = spark.range(3000).selectExpr("min_by(id, pmod(xxhash64(id), 1L << 40)) as id").first()["id"]
+    rows = [(10_000 + d, t, lang, "x") for d, t, lang, _ in corpus() if lang]
+    rows += [(least, f"the ing er {i}", "aa", "x") for i in range(3000)] + [(5000, "ein ung zu", "bb", "x")] * 500
+    seen, fit = [], li.fit
+    monkeypatch.setattr(li, "fit", lambda languages, idf, sample, **k: seen.append(sample) or fit(languages, idf, sample, **k))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for d in (docs, docs.repartition(7)):
+        li.learn(d, sample_rows=90)
+    first, second = seen
+    assert {x: sum(r[0] == x for r in first) for x in SYLLABLES} == dict.fromkeys(SYLLABLES, 30)
+    assert [(a, list(b), list(c)) for a, b, c in first] == [(a, list(b), list(c)) for a, b, c in second]

@@ -1,13 +1,18 @@
 """Scoring texts with a Brown class-based bigram model.
 
-P(text) is the product over its tokens of P(class | class before) * P(token | class). The
-``FREQUENT`` commonest words have entries of their own in the clustering, every other word is stood for
-by its spelling (a checksum of its last three bytes), and exchange clustering (Kneser and Ney; Martin et
-al., 1998) moves entries between classes while the likelihood of the corpus rises. Counts of tokens and
-of neighbours come from all learning rows.
-
-Words of at least the count that keeps the list under ``LISTED`` words are scored in the kernel from a
-broadcast of that proven size; all others through a join with the whole table of counts.
+P(text) is the product over its tokens of P(class | class before) * P(token | class). Classes come from
+exchange clustering (Kneser and Ney; Martin et al., 1998), which moves words between classes while the
+likelihood of the corpus rises, in two steps: the ``FREQUENT`` commonest words, and all others by their
+spelling (a checksum of the last three bytes), are exchanged on the driver, which gives a table of
+classes; then every other word of ``LEAST`` occurrences or more is exchanged against that table by its own
+counts of classes before and after it, all words of a round at once and distributed, as in Uszkoreit
+and Brants, "Distributed word clustering for large scale class-based language modeling" (2008). Rarer words
+keep the class of their spelling. Counts, neighbours and transitions come from all learning rows, and the
+words that are clustered grow with the vocabulary.
+
+Words of at least the count that keeps the list under ``LISTED`` words are looked up in the kernel from a
+broadcast of that proven size; all others through a join with the whole lexicon. An unknown word has the
+class of its spelling and shares one unseen place in it with all others.
 """
 
 from __future__ import annotations
@@ -16,19 +21,22 @@ import math
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.llm.language_id import held_out
 from geoloom.llm.tables import texts
 from geoloom.plans.materialize import materialize
 
-FREQUENT, SPELLINGS, CLASSES, LISTED = 768, 256, 48, 1 << 18
+FREQUENT, SPELLINGS, CLASSES, LISTED, LEAST = 768, 256, 48, 1 << 18, 3
+KEYS = 3_000_000  # contexts held before they are packed
 END = b""  # stands for the end of a text; no word is empty
 DELTA, PRIOR = 0.1, 2.0
+PAIR = np.dtype([("context", "u1"), ("n", "<u4")])
 
 
 def tokens(text: bytes) -> list[bytes]:
@@ -57,7 +65,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _neighbours(frequent: list[bytes]):
-    size = FREQUENT + SPELLINGS + 1  # the last entry is the end, also before the first token
+    size = len(frequent) + SPELLINGS + 1  # the last entry is the end, also before the first token
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entry = _Entries(frequent)
@@ -80,9 +88,10 @@ class _Entries(dict):
 
     def __init__(self, frequent: list[bytes]):
         super().__init__((w, i) for i, w in enumerate(frequent))
+        self.first = len(frequent)
 
     def __missing__(self, word: bytes) -> int:
-        got = FREQUENT + spelling(word)
+        got = self.first + spelling(word)
         if len(self) < 300_000:
             self[word] = got
         return got
@@ -138,103 +147,268 @@ def exchange(pairs: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
     return of
 
 
-def _scores(shared, base_denominator: float):
+@dataclass
+class Listed:
+    """What a kernel knows: the listed words with counts and classes, and the class of every spelling."""
+
+    words: list[bytes]  # by descending count
+    counts: np.ndarray
+    of: np.ndarray
+    spelled: np.ndarray
+    end: int  # class of the end, and how many there are
+    ends: int
+
+    def index(self) -> dict[bytes, int]:
+        return {w: i for i, w in enumerate(self.words)}
+
+
+def _contexts(shared, head: int):
+    """Packed counts of the classes before (0..) and after (CLASSES..) each word beyond the ``head`` first listed ones."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, counts, of_entry, of_listed, transition, emission = shared.value
-        index = {w: i for i, w in enumerate(words)}
-        get = index.get
-        log_count = np.log10(counts + DELTA)
-        spelled = of_entry[FREQUENT : FREQUENT + SPELLINGS]
-        end_class, end_known = int(of_entry[-1]), get(END, -1)
+        known: Listed = shared.value
+        index, n_listed = known.index(), len(known.words)
+        new: dict[bytes, int] = {}  # words beyond the list, numbered since the last flush
+        new_class: list[int] = []
+        held: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal held, size
+            key, n = np.unique(np.concatenate(held), return_counts=True)
+            word = key // (2 * CLASSES)
+            pairs = np.zeros(len(key), PAIR)
+            pairs["context"], pairs["n"] = key % (2 * CLASSES), n
+            first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+            names = [*new]
+            w = [known.words[i] if i < n_listed else names[i - n_listed] for i in word[first].tolist()]
+            offsets = np.append(first, len(key)).astype(np.int32) * PAIR.itemsize
+            packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pairs.tobytes())])
+            new.clear()
+            new_class.clear()
+            held, size = [], 0
+            return pa.RecordBatch.from_arrays([pa.array(w, pa.binary()), packed], names=["w", "packed"])
+
         for batch in batches:
-            out = []
             for text in texts(batch, "text"):
-                w = tokens(text)
-                ids = np.fromiter(map(get, w, (-1 for _ in w)), np.int64, len(w)) if w else np.zeros(0, np.int64)
-                rare = np.flatnonzero(ids < 0)
-                listed = ids[ids >= 0]
-                cls = of_listed[ids]
-                if len(rare):
-                    cls[rare] = spelled[[spelling(w[i]) for i in rare]]
-                path = np.concatenate(([end_class], cls, [end_class]))
-                known = log_count[listed].sum() + (log_count[end_known] if end_known >= 0 else math.log10(DELTA))
-                n = len(w) + 1
-                base = known - n * math.log10(base_denominator)
-                score = known + transition[path[:-1], path[1:]].sum() - emission[path[1:]].sum()
-                out.append((n, len(listed) + (end_known >= 0), float(base), float(score), list(Counter(w[i] for i in rare).items())))
-            rest = [batch.column(batch.schema.get_field_index(c)) for c in ("id", "doc_id", "held_out")]
-            columns = list(zip(*out, strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.list_(pa.struct([("w", pa.binary()), ("n", pa.int64())])))
-            columns[4] = [[{"w": a, "n": b} for a, b in x] for x in columns[4]]
-            yield pa.RecordBatch.from_arrays([*rest, *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["id", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
+                words = tokens(text)
+                if not words:
+                    continue
+                ids = np.fromiter(map(index.get, words, (-1 for _ in words)), np.int64, len(words))
+                for i in np.flatnonzero(ids < 0).tolist():
+                    at = new.get(words[i])
+                    if at is None:
+                        at = new[words[i]] = len(new)
+                        new_class.append(int(known.spelled[spelling(words[i])]))
+                    ids[i] = n_listed + at
+                of = np.concatenate((known.of, np.array(new_class, np.int64))) if len(new_class) else known.of
+                path = np.concatenate(([known.end], of[ids], [known.end]))
+                tail = np.flatnonzero(ids >= head)
+                held += [ids[tail] * (2 * CLASSES) + path[tail], ids[tail] * (2 * CLASSES) + CLASSES + path[tail + 2]]
+                size += 2 * len(tail)
+                if size > KEYS:
+                    yield flush()
+        if size:
+            yield flush()
 
     return run
 
 
-def class_scores(docs: DataFrame) -> DataFrame:
-    """Scores of every row of ``docs`` (doc_id, text; other columns unused), null texts as empty.
+def _exchanged(table: np.ndarray, spelled: np.ndarray):
+    """(w, c, class) from sorted packed contexts: each word goes where its neighbours are likeliest, given the table of classes."""
+    smooth = table + 0.01
+    log, before_of, after_of = np.log(smooth), np.log(smooth.sum(0)), np.log(smooth.sum(1))
 
-    Learns from the rows whose crc32(doc_id as text) mod 10 isn't 0; a null doc_id isn't held out and teaches
-    nothing. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (smoothed unigrams), score
-    (log10 probability under the class model) and perplexity. An empty table gives no rows.
-    """
-    spark = docs.sparkSession
-    docs = docs.select("doc_id", held_out(10, 0).alias("held_out"), "text")
-    training = docs.where("not held_out and doc_id is not null").select("text")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(words: list[bytes], m: np.ndarray) -> pa.RecordBatch:
+            before, after = m[:, :CLASSES], m[:, CLASSES:]
+            c = before.sum(1)
+            # what the likelihood of the classes gains by one more word of these neighbours in a class
+            gain = before @ log + after @ log.T - np.outer(c, before_of) - np.outer(after.sum(1), after_of)
+            gain[:, -1] = -np.inf
+            of = np.where(c >= LEAST, gain.argmax(1), [spelled[spelling(w)] for w in words])
+            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(c.astype(np.int64)), pa.array(of.astype(np.int32))], names=["w", "c", "class"])
+
+        last, held = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            w, packed = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            first = [i for i in range(len(w)) if not i or w[i] != w[i - 1]]
+            names = [w[i] for i in first]
+            sizes = np.array([len(p) // PAIR.itemsize for p in packed])
+            run_of = np.repeat(np.repeat(np.arange(len(first)), np.diff([*first, len(w)])), sizes)
+            pairs = np.frombuffer(b"".join(packed), PAIR)
+            m = np.bincount(run_of * (2 * CLASSES) + pairs["context"], pairs["n"], len(first) * 2 * CLASSES).reshape(-1, 2 * CLASSES)
+            if last is not None:
+                if names[0] == last:
+                    m[0] += held
+                else:
+                    yield out([last], held[None, :])
+            last, held = names[-1], m[-1].copy()
+            if len(names) > 1:
+                yield out(names[:-1], m[:-1])
+        if last is not None:
+            yield out([last], held[None, :])
+
+    return run
+
+
+@dataclass
+class Classes:
+    lexicon: DataFrame  # w, c, class of every word that was learned, the end among them
+    listed: Listed
+    n_tokens: int
+    n_words: int
+
+
+def learn_classes(training: DataFrame) -> Classes:
+    """Counts and classes of all words of ``training`` (text)."""
+    spark = training.sparkSession
     counts = materialize(training.mapInArrow(_counts, "w binary, n long").groupBy("w").agg(F.sum("n").alias("c")))
-    level = F.floor(F.log2("c") * 16).cast("int")
-    levels = counts.groupBy(level.alias("level")).agg(F.count("*").alias("words"), F.sum("c").alias("tokens")).orderBy(F.desc("level")).collect()
-    n, v = sum(r["tokens"] for r in levels), sum(r["words"] for r in levels)
-    lowest, listed = None, 0
+    level, is_word = F.floor(F.log2("c") * 16).cast("int"), F.length("w") > 0
+    levels = counts.where(is_word).groupBy(level.alias("level")).agg(F.count("*").alias("words"), F.sum("c").alias("tokens")).orderBy(F.desc("level")).collect()
+    ends = (counts.where(~is_word).first() or {"c": 0})["c"]
+    lowest, listed = 1 << 20, 0
     for r in levels:
         listed += r["words"]
         if listed > LISTED:
             break
         lowest = r["level"]
-    top = counts.where(level >= lowest).toArrow() if lowest is not None else pa.table({"w": pa.array([], pa.binary()), "c": pa.array([], pa.int64())})
-    pairs = sorted(zip(top["c"].to_pylist(), top["w"].to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
+    top = counts.where(is_word & (level >= lowest))
+    held = top.toArrow()
+    pairs = sorted(zip(held["c"].to_pylist(), held["w"].to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
     words, count = [w for _, w in pairs], np.array([c for c, _ in pairs], np.int64)
-    frequent = [w for w in words if w != END][:FREQUENT]
-    size = FREQUENT + SPELLINGS + 1
+    frequent = words[:FREQUENT]
+    size = len(frequent) + SPELLINGS + 1
     seen = np.zeros(size * size)
     got = training.mapInArrow(_neighbours(frequent), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
     seen[got["pair"].to_numpy()] = got["n"].to_numpy()
     neighbours = seen.reshape(size, size)
     of = exchange(neighbours, CLASSES)
-    entry = _Entries(frequent)
-    of_listed = np.array([of[-1] if w == END else of[entry[w]] for w in words] or [0], np.int64)
-    # tokens and distinct words of each class: single entries from the list, spelled ones from all counts
-    mass, kinds = np.zeros(CLASSES), np.zeros(CLASSES)
-    single = {w: i for i, w in enumerate(frequent)}
-    for c, w in pairs:
-        if w == END or w in single:
-            k = of[-1] if w == END else of[single[w]]
-            mass[k] += c
-            kinds[k] += 1
-    by_spelling = counts.where(F.length("w") > 0).groupBy((F.crc32(F.expr("substring(w, greatest(1, length(w) - 2), 3)")) % SPELLINGS).cast("int").alias("s")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()
-    taken = np.zeros((SPELLINGS, 2))
-    for c, w in pairs:
-        if w in single:
-            taken[spelling(w)] += (c, 1)
-    for r in by_spelling:
-        k = of[FREQUENT + r["s"]]
-        mass[k] += r["c"] - taken[r["s"], 0]
-        kinds[k] += r["n"] - taken[r["s"], 1]
+    entry, spelled, end = _Entries(frequent), of[len(frequent) : len(frequent) + SPELLINGS], int(of[-1])
+    known = Listed(words, count, np.array([of[entry[w]] for w in words], np.int64), spelled, end, ends)
     one = np.zeros((size, CLASSES))
     one[np.arange(size), of] = 1
-    table = one.T @ neighbours @ one
-    share = (table.sum(0) + DELTA) / (table.sum() + DELTA * CLASSES)
+    packed = training.mapInArrow(_contexts(spark.sparkContext.broadcast(known), len(frequent)), "w binary, packed binary")
+    found = packed.repartition("w").sortWithinPartitions("w").mapInArrow(_exchanged(one.T @ neighbours @ one, spelled), "w binary, c long, class int")
+    first = [(w, int(c), int(k)) for w, c, k in zip(frequent, count, known.of, strict=False)] + [(END, ends, end)] * (ends > 0)
+    lexicon = materialize(found.union(spark.createDataFrame(first, "w binary, c long, class int")))
+    final = lexicon.join(top.select("w"), "w").select("w", "class").toArrow()
+    class_of = dict(zip(final["w"].to_pylist(), final["class"].to_pylist(), strict=True))
+    known = Listed(words, count, np.array([class_of[w] for w in words], np.int64), spelled, end, ends)
+    return Classes(lexicon, known, ends + sum(r["tokens"] for r in levels), (ends > 0) + sum(r["words"] for r in levels))
+
+
+def _paths(shared):
+    """The classes of a text's tokens, one byte each, its end not among them; words beyond the list apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: Listed = shared.value
+        index = known.index()
+        log_count = np.log10(known.counts + DELTA)
+        end_log = math.log10(known.ends + DELTA)
+        for batch in batches:
+            out = []
+            for text in texts(batch, "text"):
+                w = tokens(text)
+                ids = np.fromiter(map(index.get, w, (-1 for _ in w)), np.int64, len(w))
+                rare = np.flatnonzero(ids < 0)
+                listed = ids >= 0
+                path = np.zeros(len(w), np.uint8)
+                path[listed] = known.of[ids[listed]]
+                path[rare] = [known.spelled[spelling(w[i])] for i in rare]
+                out.append((len(w) + 1, int(listed.sum()) + (known.ends > 0), float(log_count[ids[listed]].sum() + end_log), path.tobytes(), [{"at": i, "w": w[i]} for i in rare.tolist()]))
+            rest = [batch.column(batch.schema.get_field_index(c)) for c in ("id", "doc_id", "held_out")]
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(pa.struct([("at", pa.int32()), ("w", pa.binary())])))
+            columns = list(zip(*out, strict=True)) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([*rest, *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["id", "doc_id", "held_out", "n_tokens", "n_known", "known", "path", "rare"])
+
+    return run
+
+
+def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """path with the classes of ``more`` (at, class) put in, and without that column."""
+    for batch in batches:
+        paths = []
+        for path, more in zip(batch.column(batch.schema.get_field_index("path")).to_pylist(), batch.column(batch.schema.get_field_index("more")).to_pylist(), strict=True):
+            if more:
+                x = np.frombuffer(path, np.uint8).copy()
+                x[[m["at"] for m in more]] = [m["class"] for m in more]
+                path = x.tobytes()
+            paths.append(path)
+        names = [n for n in batch.schema.names if n not in ("path", "more")]
+        yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), pa.array(paths, pa.binary())], names=[*names, "path"])
+
+
+def _ended(path: bytes, end: int) -> np.ndarray:
+    return np.concatenate(([end], np.frombuffer(path, np.uint8), [end])).astype(np.int64)
+
+
+def _transitions(end: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(CLASSES * CLASSES, np.int64)
+        for batch in batches:
+            for path in batch.column(batch.schema.get_field_index("path")).to_pylist():
+                x = _ended(path, end)
+                seen += np.bincount(x[:-1] * CLASSES + x[1:], minlength=CLASSES * CLASSES)
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["pair", "n"])
+
+    return run
+
+
+def model(table: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log10 P(class | class before), log10 of what a count is divided by in each class), from transitions and distinct words."""
+    share = (table.sum(0) + DELTA) / (table.sum() + DELTA * len(table))
     transition = np.log10((table + PRIOR * share) / (table.sum(1, keepdims=True) + PRIOR))
-    emission = np.log10(mass + DELTA * (kinds + 1))
-    shared = spark.sparkContext.broadcast((words, count if len(count) else np.zeros(1, np.int64), of, of_listed, transition, emission))
-    schema = "id long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<struct<w:binary,n:long>>"
-    scored = materialize(docs.withColumn("id", F.monotonically_increasing_id()).mapInArrow(_scores(shared, n + DELTA * (v + 1)), schema))
-    rare = scored.select("id", F.explode("rare").alias("x")).select("id", "x.w", "x.n").join(counts, "w", "left")
-    rare = rare.groupBy("id").agg(F.sum(F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("more_known"), F.sum(F.col("n") * F.log10(F.coalesce("c", F.lit(0)) + F.lit(DELTA))).alias("more"))
-    more = F.coalesce("more", F.lit(0.0))
-    return (
-        scored.drop("rare").join(rare, "id", "left")
-        .select("doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
-                (F.col("base_score") + more).alias("base_score"), (F.col("score") + more).alias("score"))
-        .withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+    return transition, np.log10(table.sum(0) + DELTA * (kinds + 1))
+
+
+def _scores(transition: np.ndarray, divisor: np.ndarray, end: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            added = []
+            for path in batch.column(batch.schema.get_field_index("path")).to_pylist():
+                x = _ended(path, end)
+                added.append(float(transition[x[:-1], x[1:]].sum() - divisor[x[1:]].sum()))
+            names = [n for n in batch.schema.names if n != "path"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), pa.array(added, pa.float64())], names=[*names, "added"])
+
+    return run
+
+
+def class_scores(docs: DataFrame) -> DataFrame:
+    """Scores of every row of ``docs`` (doc_id, text; other columns unused), null texts as empty.
+
+    Learns from the rows whose crc32(doc_id as text) mod 10 isn't 0; a null doc_id isn't held out and teaches
+    nothing. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score (smoothed unigrams), score
+    (log10 probability under the class model) and perplexity. An empty table gives no rows.
+    """
+    spark: SparkSession = docs.sparkSession
+    docs = docs.select("doc_id", held_out(10, 0).alias("held_out"), "text")
+    learned = learn_classes(docs.where("not held_out and doc_id is not null").select("text"))
+    n, v, end = learned.n_tokens, learned.n_words, learned.listed.end
+    shared = spark.sparkContext.broadcast(learned.listed)
+    schema = "id long, doc_id long, held_out boolean, n_tokens long, n_known long, known double, path binary, rare array<struct<at:int,w:binary>>"
+    paths = materialize(docs.withColumn("id", F.monotonically_increasing_id()).mapInArrow(_paths(shared), schema))
+    rare = paths.select("id", F.explode("rare").alias("x")).select("id", "x.at", "x.w").join(learned.lexicon, "w", "left")
+    more = rare.groupBy("id").agg(
+        F.count("c").alias("more_known"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(DELTA))).alias("more_log"),
+        F.collect_list(F.when(F.col("class").isNotNull(), F.struct("at", "class"))).alias("more"),
     )
+    joined = paths.drop("rare").join(more, "id", "left").select(
+        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), (F.col("known") + F.coalesce("more_log", F.lit(0.0))).alias("known"), "path", "more"
+    )
+    filled = materialize(joined.mapInArrow(_filled, "doc_id long, held_out boolean, n_tokens long, n_known long, known double, path binary"))
+    table, kinds = np.zeros(CLASSES * CLASSES), np.zeros(CLASSES)
+    for r in filled.where("not held_out and doc_id is not null").select("path").mapInArrow(_transitions(end), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        table[r["pair"]] = r["n"]
+    for r in learned.lexicon.groupBy("class").count().collect():
+        kinds[r["class"]] = r["count"]
+    transition, divisor = model(table.reshape(CLASSES, CLASSES), kinds)
+    scored = filled.mapInArrow(_scores(transition, divisor, end), "doc_id long, held_out boolean, n_tokens long, n_known long, known double, added double")
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
+        (F.col("known") - F.col("n_tokens") * math.log10(n + DELTA * (v + 1))).alias("base_score"), (F.col("known") + F.col("added")).alias("score"),
+    ).withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))

@@ -49,5 +49,57 @@ def test_exchange_finds_planted_classes():
     assert of[-1] == 3 and all(len(set(of[:-1][kind == k])) == 1 for k in range(3))
 
 
+def test_score_by_hand_and_the_model_is_normal(spark, monkeypatch):
+    """Transitions and emissions counted by hand from the classes of the lexicon give the same scores."""
+    for listed, frequent in ((1 << 18, 768), (20, 10)):
+        monkeypatch.setattr(class_lm, "LISTED", listed)
+        monkeypatch.setattr(class_lm, "FREQUENT", frequent)
+        rows = corpus()
+        train = [t for d, t, _ in rows if zlib.crc32(str(d).encode()) % 10]
+        docs = spark.createDataFrame(rows, SCHEMA)
+        learned = class_lm.learn_classes(spark.createDataFrame([(t,) for t in train], "text string"))
+        lexicon = {bytes(r["w"]): (r["c"], r["class"]) for r in learned.lexicon.collect()}
+        split = lambda t: (t or "").encode().lower().split() + [b""]
+        assert {w: c for w, (c, _) in lexicon.items()} == Counter(w for t in train for w in split(t))
+        of = lambda w: lexicon[w][1] if w in lexicon else learned.listed.spelled[class_lm.spelling(w)]
+        table, k = np.zeros((class_lm.CLASSES, class_lm.CLASSES)), class_lm.CLASSES
+        for t in train:
+            at = of(b"")
+            for w in split(t):
+                table[at, of(w)] += 1
+                at = of(w)
+        kinds = np.bincount([c for _, c in lexicon.values()], minlength=k)
+        share = (table.sum(0) + 0.1) / (table.sum() + 0.1 * k)
+        step = (table + 2 * share) / (table.sum(1, keepdims=True) + 2)
+        assert np.allclose(step.sum(1), 1)
+        emit = lambda w: (lexicon.get(w, (0,))[0] + 0.1) / (table[:, of(w)].sum() + 0.1 * (kinds[of(w)] + 1))
+        for c in set(c for _, c in lexicon.values()):  # the words of a class and its one unseen place
+            assert abs(sum(emit(w) for w, (_, d) in lexicon.items() if d == c) + 0.1 / (table[:, c].sum() + 0.1 * (kinds[c] + 1)) - 1) < 1e-9
+        want = {}
+        for d, t, _ in rows:
+            at, score = of(b""), 0.0
+            for w in split(t):
+                score += math.log10(step[at, of(w)] * emit(w))
+                at = of(w)
+            want[d] = score
+        for r in class_lm.class_scores(docs).collect():
+            assert abs(r["score"] - want[r["doc_id"]]) < 1e-8 * max(1, abs(r["score"]))
+
+
+def test_words_beyond_the_head_are_clustered(spark, monkeypatch):
+    monkeypatch.setattr(class_lm, "FREQUENT", 8)
+    rng = random.Random(4)
+    kinds = [[f"{chr(97 + k)}{rng.randrange(1 << 30):x}" for _ in range(60)] for k in range(3)]
+    heads = [["q0", "q1"], ["r0", "r1"], ["s0", "s1"]]
+    rows = [(" ".join(x for i in range(200) for x in (rng.choice(heads[i % 3]), rng.choice(kinds[i % 3]))),) for _ in range(80)]
+    learned = class_lm.learn_classes(spark.createDataFrame(rows, "text string"))
+    of = {bytes(r["w"]).decode(): r["class"] for r in learned.lexicon.collect()}
+    held = Counter((of[w], k) for k, words in enumerate(kinds) for w in words if w in of)
+    best = {c: max(n for (d, _), n in held.items() if d == c) for c, _ in held}
+    assert sum(best.values()) >= 0.97 * sum(held.values())  # by spelling alone, classes would mix the kinds
+    by_spelling = Counter((int(learned.listed.spelled[class_lm.spelling(w.encode())]), k) for k, words in enumerate(kinds) for w in words)
+    assert sum(max(n for (d, _), n in by_spelling.items() if d == c) for c in {c for c, _ in by_spelling}) < sum(best.values())
+
+
 def test_empty_table(spark):
     assert class_lm.class_scores(spark.createDataFrame([], SCHEMA)).count() == 0

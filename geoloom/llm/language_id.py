@@ -19,36 +19,48 @@ from pyspark.sql import functions as F
 
 from geoloom.llm.tables import row_key, texts
 
-BUCKETS = 1 << 15
+BUCKETS, BLOCK = 1 << 15, 1 << 20
 UNDETERMINED = "und"
 _letter: np.ndarray | None = None
 
 
 def _letters() -> np.ndarray:
+    """Whether a code point is a letter (general category L), for all planes."""
     global _letter
     if _letter is None:
-        _letter = np.fromiter((chr(c).isalpha() for c in range(0x32000)), bool, 0x32000)
+        _letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
     return _letter
 
 
-def ngrams(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(buckets, counts) of a text's n-grams; empty if it has no letter."""
-    c = np.frombuffer(text.decode("utf-8", "replace").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    letter = _letters()[np.minimum(c, 0x31FFF)]
-    if not letter.any():
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    c = np.where(letter, c, 32)
-    keep = letter.copy()
-    keep[1:] |= letter[:-1]  # the first of a run of other characters stands for the run
-    c = np.concatenate(([32], c[keep], [32])).astype(np.uint32)
+def _add(c: np.ndarray, counts: np.ndarray, done: int) -> None:
+    """Count the n-grams of c that end behind its first ``done`` code points."""
     one = c * np.uint32(0x9E3779B1)
     two = (one[:-1] ^ np.uint32(0x51ED270B)) * np.uint32(0x85EBCA6B) + c[1:] * np.uint32(0xC2B2AE35)
     three = (two[:-1] ^ np.uint32(0x27D4EB2F)) * np.uint32(0x165667B1) + c[2:] * np.uint32(0x9E3779B1)
-    counts = np.zeros(BUCKETS, np.int64)
-    for h in (one, two, three):
+    for n, h in enumerate((one, two, three)):
+        h = h[max(0, done - n) :]
         h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
         counts += np.bincount(h >> np.uint32(17), minlength=BUCKETS)
-    at = np.flatnonzero(counts)
+
+
+def ngrams(text: bytes, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
+    """(buckets, counts) of a text's n-grams; empty if it has no letter. A long text is worked through in blocks."""
+    counts, any_letter = np.zeros(BUCKETS, np.int64), False
+    whole = text.decode("utf-8", "replace").lower()
+    last, done, joined = np.array([32], np.uint32), 0, True  # what stands before the block, how much of that is counted, whether it ends without a letter
+    for at in range(0, len(whole), block):
+        c = np.frombuffer(whole[at : at + block].encode("utf-32-le", "surrogatepass"), np.uint32)
+        letter = _letters()[c]
+        any_letter |= bool(letter.any())
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]  # the first of a run of other characters stands for the run
+        keep[0] |= not joined
+        joined = not letter[-1]
+        x = np.concatenate((last, np.where(letter, c, 32)[keep], [32] if at + block >= len(whole) else [])).astype(np.uint32)
+        _add(x, counts, done)
+        last = x[-2:]
+        done = len(last)
+    at = np.flatnonzero(counts) if any_letter else np.zeros(0, np.int64)
     return at, counts[at]
 
 

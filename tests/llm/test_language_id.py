@@ -56,3 +56,16 @@ def test_sample_when_one_id_repeats_on_many_rows(spark, monkeypatch):
     first, second = seen
     assert {x: sum(r[0] == x for r in first) for x in SYLLABLES} == dict.fromkeys(SYLLABLES, 30)
     assert [(a, list(b), list(c)) for a, b, c in first] == [(a, list(b), list(c)) for a, b, c in second]
+
+
+def test_letters_of_all_planes_and_blocks():
+    for text in ("\U000F0000 12", "\U0001F1E9\U000E0067\U000E007F", "1 2 3 !", ""):
+        assert not len(li.ngrams(text.encode())[0])
+    for text in ("\U00020000", "\U00031350", "a", "ß9"):
+        assert len(li.ngrams(text.encode())[0])
+    text = ("Ab, c  d9!é \U0001F600 xyz--" * 9 + "q").encode()
+    whole = li.ngrams(text)
+    for block in (1, 2, 3, 7, 50):
+        got = li.ngrams(text, block)
+        assert got[0].tolist() == whole[0].tolist() and got[1].tolist() == whole[1].tolist()
+    assert len(li.ngrams(b"\xff\xfe abc")[0])

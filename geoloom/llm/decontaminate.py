@@ -16,6 +16,7 @@ sweep over the documents, so what a task holds is bounded however large the benc
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 
 import ahocorasick
@@ -157,16 +158,22 @@ class Matcher:
         return sorted(out)
 
 
-def _match(shared, percent: int):
+_matchers: dict[str, Matcher] = {}  # of this worker, the last block used
+
+
+def _match(shared, percent: int, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(shared.value, percent)
+        matcher = _matchers.get(name)
+        if matcher is None:
+            _matchers.clear()
+            matcher = _matchers[name] = Matcher(shared.value, percent)
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("distance", pa.int32())]))
         for batch in batches:
-            hits = []
-            for t in texts(batch, "text"):
-                hits.append([{"item_id": i, "distance": d} for i, d, _ in matcher.found(normal(t.decode()))])
-            rest = [batch.column(i) for i in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(hits, kind)], names=[*batch.schema.names, "hits_now"])
+            at, hits = batch.schema.get_field_index("hits"), []
+            for t, before in zip(texts(batch, "text"), batch.column(at).to_pylist(), strict=True):
+                hits.append(before + [{"item_id": i, "distance": d} for i, d, _ in matcher.found(normal(t.decode("utf-8", "replace")))])
+            columns = [pa.array(hits, kind) if i == at else batch.column(i) for i in range(batch.num_columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
     return run
 
@@ -190,18 +197,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, percent: int = PERCENT)
     """``docs`` with a column hits (array of item_id, distance): the items that a passage of the text matches.
 
     docs: text and any other columns, which are kept (a column named hits is replaced). benchmark: item_id,
-    text. Null and empty texts match nothing; null items and items without letters or digits
+    text. Null and empty texts match nothing, bytes that aren't UTF-8 are read as replacement characters; null items and items without letters or digits
     are passed over; items of fewer than ``SHORTEST`` characters match exactly, not inside a word. Repeated rows each get their hits.
     """
     from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
     spark = docs.sparkSession
     kind = ArrayType(StructType([StructField("item_id", LongType()), StructField("distance", IntegerType())]))
-    out = docs.drop("hits", "hits_now").withColumn("hits", F.array().cast(kind))
+    out = docs.drop("hits").withColumn("hits", F.array().cast(kind))
     for block in _blocks(benchmark):
-        schema = StructType([*out.schema.fields, StructField("hits_now", kind)])
-        out = out.mapInArrow(_match(spark.sparkContext.broadcast(block), percent), schema)
-        out = out.withColumn("hits", F.concat("hits", "hits_now")).drop("hits_now")
+        out = out.mapInArrow(_match(spark.sparkContext.broadcast(block), percent, uuid.uuid4().hex), out.schema)
     return out
 
 

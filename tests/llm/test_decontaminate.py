@@ -90,3 +90,13 @@ def test_short_items_match_exactly(spark):
     docs = spark.createDataFrame([(1, "A Short one.", "", ""), (2, "shorten", "", ""), (3, "他说短文在此了", "", ""), (4, "shart", "", "")], SCHEMA)
     bench = spark.createDataFrame([(7, "short"), (8, "短文"), (9, "!"), (10, None)], "item_id long, text string")
     assert sorted(map(tuple, dc.query(docs, bench).collect())) == [(1, 7, 0), (3, 8, 0)]
+
+
+def test_invalid_bytes_and_other_columns(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame([(1, "a passage of the benchmark stands here", "x", "kept")], "doc_id long, text string, hits string, hits_now string")
+    docs = docs.withColumn("text", F.concat(F.expr("cast(x'FFFE20' as string)"), "text"))
+    bench = spark.createDataFrame([(7, "passage of the benchmark stands"), (8, "nothing of this kind at all")], "item_id long, text string")
+    got = dc.contamination(docs, bench).collect()
+    assert [(r["hits_now"], [tuple(h) for h in r["hits"]]) for r in got] == [("kept", [(7, 0)])]

@@ -111,6 +111,29 @@ class Vocabulary:
         order = np.lexsort((self.lengths[piece], start))
         return start[order], self.lengths[piece[order]], piece[order]
 
+    def safe_cuts(self, segment: str, block: int) -> Iterator[str]:
+        """``segment`` in parts of about ``block`` bytes, cut where no occurrence of a piece crosses.
+
+        No token of either kind of model reaches across such a place, so the parts are encoded for themselves. A part
+        grows beyond ``block`` only where pieces overlap without a gap.
+        """
+        raw, at, size = segment.encode(), 0, block
+        while len(raw) - at > size:
+            b = np.frombuffer(raw, np.uint8)[at : at + size]
+            start, length, _ = self.edges(b)
+            crossed = np.zeros(len(b) + 1, np.int32)  # how many pieces reach across the place before each byte
+            np.add.at(crossed, start + 1, 1)
+            np.add.at(crossed, start + length, -1)
+            free = np.flatnonzero((np.cumsum(crossed)[:-1] == 0) & ((b & 0xC0) != 0x80))
+            free = free[(free > 0) & (free <= len(b) - self.longest)]  # a piece may begin in sight and end out of it
+            if len(free):
+                cut = int(free[-1])
+                yield raw[at : at + cut].decode()
+                at, size = at + cut, block
+            else:
+                size *= 2
+        yield raw[at:].decode()
+
     def encode_segments(self, segments: list[str]) -> list[np.ndarray]:
         raw = [s.encode() for s in segments]
         b = np.frombuffer(b"\xff".join([*raw, b""]), np.uint8)
@@ -250,10 +273,13 @@ class Encoder:
     def _learn(self, new: list[str]) -> None:
         self.known.update((s, ids.tobytes()) for s, ids in zip(new, self.vocabulary.encode_segments(new), strict=True))
 
+    def _segments(self, text: str) -> list[str]:
+        return [part for s in self.vocabulary.prepare(text) for part in (self.vocabulary.safe_cuts(s, FLUSH) if len(s) > FLUSH // 4 else (s,))]
+
     def encode(self, batch: list[str]) -> list[np.ndarray]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        cut = [self.vocabulary.prepare(t) for t in batch]
+        cut = [self._segments(t) for t in batch]
         known, new, size = self.known, [], 0
         for s in set().union(*cut).difference(known):
             new.append(s)
@@ -273,7 +299,7 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.Recor
     for batch in batches:
         held.append(batch)
         for t in texts(batch, "text"):
-            whole.append(t.decode())
+            whole.append(t.decode("utf-8", "replace"))
             size += len(t)
         if size > GATHER:
             yield held, whole

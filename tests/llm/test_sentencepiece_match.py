@@ -61,3 +61,18 @@ def test_tables(spark):
     flags = {r["doc_id"]: r["round_trip"] for r in sm.encode(docs, digest=True).collect()}
     assert flags == {1: True, 2: True, 3: True, None: False}
     assert sm.encode(docs.limit(0)).count() == 0
+
+
+def test_long_text_without_spaces_is_cut_where_no_piece_crosses(monkeypatch):
+    rng = random.Random(3)
+    text = "".join(rng.choices("的一是不了人我在有他这中大来上国个到说们为子和你地出道也时年得就那要下以生会自着去之过家学对可她里后小么心多天而能好都然没日于起还发成事只作当想看文无开手十用主行方又如前所本见经头面公同三已老从动两长知民样现分将外但身些与高意进把法此实回二理美点月明其种声全工己话儿者向情部正名定女问力机给等几很业最间新什打便位因重被走电四第门相次东政海口使教西再平真听世气信北少关并内加化由却代军产入先山五太水万市眼体别处总才场师书比住员九笑性通目华报立马命张活难神数件安表原车白应路期叫死常提感金何更反合放做系计或司利受光王果亲界及今京务制解各任至清物台象记边共风战干接它许八特觉望直服毛林题建南度统色字请交爱让认算论百吃义科怎元社术结六功指思非流每青管夫连远资队跟带花快条院变联权往展该领传近留红治决周保达办运武半候七必城父强步完革深区即求品士转量空甚众技轻程告江语英基派满式李息写呢识极令黄德收脸钱党倒未持取设始版双历越史商千片容研像找友孩站广改议形委早房音火际则首单据导影失拿网香似斯专石若兵弟谁校读志飞观争究包组造落视济喜离虽坏兰答", k=60_000))
+    assert VOCABULARY.longest < 100
+    monkeypatch.setattr(sm, "FLUSH", 20_000)
+    parts = list(VOCABULARY.safe_cuts("▁" + text, 20_000))
+    assert "".join(parts) == "▁" + text and max(len(p.encode()) for p in parts) <= 20_000 and len(parts) > 5
+    assert [x.tolist() for x in sm.Encoder(VOCABULARY).encode([text, "in" * 30_000])] == LIBRARY.encode([text, "in" * 30_000])
+
+
+def test_invalid_bytes(spark):
+    got = sm.encode(spark.sql("select 1 as doc_id, cast(x'FF6162' as string) as text")).collect()
+    assert got[0]["token_ids"] == LIBRARY.encode("\ufffdab")

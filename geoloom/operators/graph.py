@@ -82,5 +82,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"components not settled after {max_rounds} rounds")
     found = work.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))

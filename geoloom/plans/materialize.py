@@ -17,10 +17,12 @@ _OWN: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder of ``spark.checkpoint.dir``; only where that is unset (tests), a temporary one."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    """Folder of ``spark.checkpoint.dir``, or of setCheckpointDir(); a temporary one only in a single process (tests)."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not _OWN:
         _OWN.append(tempfile.mkdtemp(prefix="geoloom-"))
         atexit.register(shutil.rmtree, _OWN[0], ignore_errors=True)

@@ -159,29 +159,46 @@ def boundary_edges(cells: DataFrame) -> DataFrame:
 
 
 # contours ---------------------------------------------------------------------------------------
-def contour_segments(data: DataFrame, grid: GridSpec, level: float) -> DataFrame:
+def framed(data: DataFrame, grid: GridSpec, level: float) -> DataFrame:
+    """``data`` with the cells along the border of the grid set to just above the level."""
+    inner = (F.col("rx").between(1, grid.cols - 2)) & (F.col("ry").between(1, grid.rows - 2))
+    along = data.sparkSession.range(max(grid.cols, grid.rows)).withColumn("side", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    rx = F.when(F.col("side") == 0, F.lit(0)).when(F.col("side") == 1, F.lit(grid.cols - 1)).otherwise(F.col("id"))
+    ry = F.when(F.col("side") == 2, F.lit(0)).when(F.col("side") == 3, F.lit(grid.rows - 1)).otherwise(F.col("id"))
+    border = along.select(rx.cast("long").alias("rx"), ry.cast("long").alias("ry")).where(grid.inside("rx", "ry")).distinct()
+    return data.where(inner).select(*CELL, F.col("v").cast("double").alias("v")).union(border.withColumn("v", F.lit(level + 1e-9)))
+
+
+def contour_segments(data: DataFrame, grid: GridSpec, level: float, pad: bool = False) -> DataFrame:
     """Marching squares: (rx, ry, kase, seg, x0, y0, x1, y1) in cell coordinates, for each 2 x 2 square that the level crosses.
 
     (rx, ry) is the square's upper left cell; a corner is inside where its value is over the level, no
-    data counts as 0. The bits of kase are 8 upper left, 4 upper right, 2 lower right, 1 lower left.
+    data counts as 0. The bits of kase are 8 upper left, 4 upper right, 2 lower right, 1 lower left. Saddles
+    cut off their outside corners. A square all inside at the border of the grid is a border, which closes
+    paths there; with ``pad`` the grid is taken as lying in a ring of cells without data instead, so every path closes.
     """
+    out = 1 if pad else 0
     corner = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])
     z = lambda i, j: F.coalesce(F.max(F.when((F.col("c.i") == i) & (F.col("c.j") == j), F.col("v"))), F.lit(0)).cast("double")
     squares = (
         data.select((F.col("rx")).alias("ax"), F.col("ry").alias("ay"), "v", F.explode(corner).alias("c"))
         .withColumns({"rx": F.col("ax") - F.col("c.i"), "ry": F.col("ay") - F.col("c.j")})
-        .where((F.col("rx") >= 0) & (F.col("rx") < grid.cols - 1) & (F.col("ry") >= 0) & (F.col("ry") < grid.rows - 1))
+        .where((F.col("rx") >= -out) & (F.col("rx") < grid.cols - 1 + out) & (F.col("ry") >= -out) & (F.col("ry") < grid.rows - 1 + out))
         .groupBy(*CELL).agg(z(0, 0).alias("a"), z(1, 0).alias("b"), z(1, 1).alias("c"), z(0, 1).alias("d"))
     )
     kase = sum((F.col(n) > level).cast("int") * k for n, k in (("a", 8), ("b", 4), ("c", 2), ("d", 1)))
-    squares = squares.withColumn("kase", kase).where("kase between 1 and 14")
+    if not pad:  # the first border that a solid square lies at
+        x, y = F.col("rx"), F.col("ry")
+        at_border = F.when(x == 0, 6).when(x == grid.cols - 2, 9).when(y == 0, 3).when(y == grid.rows - 2, 12).otherwise(15)
+        kase = F.when(kase == 15, at_border).otherwise(kase)
+    squares = squares.withColumn("kase", kase.cast("int")).where("kase between 1 and 14")
     cut = lambda p, q: F.when(F.col(q) == F.col(p), 0.5).otherwise(F.least(F.greatest((level - F.col(p)) / (F.col(q) - F.col(p)), F.lit(0.0)), F.lit(1.0)))
     side = {
         "N": (F.col("rx") + cut("a", "b"), F.col("ry") + F.lit(0.0)), "E": (F.col("rx") + F.lit(1.0), F.col("ry") + cut("b", "c")),
         "S": (F.col("rx") + cut("d", "c"), F.col("ry") + F.lit(1.0)), "W": (F.col("rx") + F.lit(0.0), F.col("ry") + cut("a", "d")),
     }
-    # the inside is to the left of each segment as drawn, north up; saddles keep their inside corners apart
-    lines = {1: ["SW"], 2: ["ES"], 3: ["EW"], 4: ["NE"], 5: ["NE", "SW"], 6: ["NS"], 7: ["NW"], 8: ["WN"], 9: ["SN"], 10: ["WN", "ES"], 11: ["EN"], 12: ["WE"], 13: ["SE"], 14: ["WS"]}
+    # fixed values: the inside is to the left of each segment as drawn, north up; saddles cut off the outside corners
+    lines = {1: ["SW"], 2: ["ES"], 3: ["EW"], 4: ["NE"], 5: ["NW", "SE"], 6: ["NS"], 7: ["NW"], 8: ["WN"], 9: ["SN"], 10: ["EN", "WS"], 11: ["EN"], 12: ["WE"], 13: ["SE"], 14: ["WS"]}
     seg = lambda i, k: F.struct(F.lit(i).alias("seg"), *[c.alias(n) for c, n in zip((*side[k[0]], *side[k[1]]), ("x0", "y0", "x1", "y1"), strict=True)])
     found = None
     for k, segs in lines.items():
@@ -190,14 +207,25 @@ def contour_segments(data: DataFrame, grid: GridSpec, level: float) -> DataFrame
     return squares.select(*CELL, "kase", F.explode(found).alias("s")).select(*CELL, "kase", "s.*")
 
 
-def color_ramp(data: DataFrame, bins: int = 155) -> DataFrame:
-    """Upper bounds of at most ``bins`` quantile classes for negative and for positive values: (sign, bin, upper).
+def color_ramp(data: DataFrame, bins: int = 155, equal: float = 1.0) -> DataFrame:
+    """Breaks of at most ``bins`` classes for the values below -equal and for those above equal: (sign, bin, upper, alpha).
 
-    Values are numbered within their sign by counts of distinct values, so no row but a distinct value is
-    ever sorted.
+    With n values of a sign and k = min(n, bins) classes, class b of the negative ones ends at the value of
+    place floor(b / k * (n - 1)) in ascending order and is the more opaque the lower it is; class b of the positive
+    ones ends at place ceil(b / k * (n - 2)) + 1 and is the more opaque the higher it is. Values are placed
+    within their sign by counts of distinct values, so no row but a distinct value is ever sorted.
     """
-    counted = data.where("v <> 0").groupBy(F.signum(F.col("v").cast("double")).cast("int").alias("sign"), F.col("v").cast("double").alias("v")).agg(F.count("*").alias("n"))
+    counted = data.where(F.abs("v") > equal).groupBy(F.signum(F.col("v").cast("double")).cast("int").alias("sign"), F.col("v").cast("double").alias("v")).agg(F.count("*").alias("n"))
     w = Window.partitionBy("sign").orderBy("v")
     ranked = counted.withColumns({"upto": F.sum("n").over(w), "total": F.sum("n").over(Window.partitionBy("sign"))})
-    bin_ = F.floor((F.col("upto") - 1) * F.least(F.lit(bins), F.col("total")) / F.col("total")).cast("int")
-    return ranked.withColumn("bin", bin_).groupBy("sign", "bin").agg(F.max("v").alias("upper"))
+    ranked = ranked.withColumn("k", F.least(F.lit(bins).cast("long"), F.col("total")))
+
+    def place(b: Column) -> Column:
+        part = b.cast("double") / F.col("k").cast("double")
+        low, high = F.floor(part * (F.col("total") - 1)), F.ceil(part * F.greatest(F.col("total") - 2, F.lit(0))) + 1
+        return F.when(F.col("sign") < 0, low).otherwise(F.least(high, F.col("total") - 1))
+
+    here = F.filter(F.sequence(F.lit(0).cast("long"), F.col("k") - 1), lambda b: (place(b) < F.col("upto")) & (place(b) >= F.col("upto") - F.col("n")))
+    found = ranked.withColumn("bin", F.explode(here))
+    alpha = F.when(F.col("sign") < 0, 255 - F.col("bin")).otherwise(255 - F.col("k") + F.col("bin"))
+    return found.select("sign", F.col("bin").cast("int").alias("bin"), F.col("v").alias("upper"), alpha.cast("int").alias("alpha"))

@@ -257,14 +257,18 @@ def centre_check(points: DataFrame, slices: DataFrame, grid: GridSpec) -> DataFr
 
 
 def contour_rings(data: DataFrame, grid: GridSpec, level: float) -> DataFrame:
-    """(id, is_hole, geom): closed contours as polygons in coordinates; lines that pass a place twice are cut into loops."""
-    segments = materialize(raster.contour_segments(data, grid, level))
-    squares = segments.select("rx", "ry", (F.col("rx") + F.col("ry") * grid.cols).alias("sq")).distinct()
+    """(id, is_hole, geom): closed contours as polygons in coordinates; lines that pass a place twice are cut into loops.
+
+    What lies outside the grid counts as 0, so every contour closes.
+    """
+    segments = materialize(raster.contour_segments(data, grid, level, pad=True))
+    number = F.col("rx") + 1 + (F.col("ry") + 1) * (grid.cols + 2)
+    squares = segments.select("rx", "ry", number.alias("sq")).distinct()
     side = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 0), (1, 0), (0, 1))])).alias("d")
     beside = squares.select("sq", (F.col("rx")).alias("ax"), F.col("ry").alias("ay"), side).select("sq", (F.col("ax") + F.col("d.i")).alias("rx"), (F.col("ay") + F.col("d.j")).alias("ry"))
     edges = beside.join(squares.withColumnRenamed("sq", "other"), ["rx", "ry"])
     component = connected_components(edges, "sq", "other", finish=200_000)
-    placed = segments.withColumn("sq", F.col("rx") + F.col("ry") * grid.cols).join(component, F.col("sq") == F.col("node"))
+    placed = segments.withColumn("sq", number).join(component, F.col("sq") == F.col("node"))
 
     def rings(key: tuple, rows: pa.Table) -> list[tuple]:
         lines = kernel.stitch(list(zip(*(rows[c].to_pylist() for c in ("x0", "y0", "x1", "y1")), strict=True)))

@@ -359,18 +359,48 @@ def polygonize_edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 _CUT = "CASE WHEN {1}={0} THEN 0.5 ELSE least(greatest((12.0-{0})/({1}-{0}),0.0),1.0) END"
-_SIDE = {"N": (f"rx+{_CUT.format('a', 'b')}", "ry+0.0"), "E": ("rx+1.0", f"ry+{_CUT.format('b', 'c')}"), "S": (f"rx+{_CUT.format('d', 'c')}", "ry+1.0"), "W": ("rx+0.0", f"ry+{_CUT.format('a', 'd')}")}
-_LINES = {1: ["SW"], 2: ["ES"], 3: ["EW"], 4: ["NE"], 5: ["NE", "SW"], 6: ["NS"], 7: ["NW"], 8: ["WN"], 9: ["SN"], 10: ["WN", "ES"], 11: ["EN"], 12: ["WE"], 13: ["SE"], 14: ["WS"]}
 
 
-@query(W(i.SQL_FP, i.SQL_CNT, """sq AS (SELECT * FROM (SELECT x AS rx, y AS ry, CAST(coalesce(a.v,0) AS DOUBLE) AS a, CAST(coalesce(b.v,0) AS DOUBLE) AS b, CAST(coalesce(c.v,0) AS DOUBLE) AS c, CAST(coalesce(d.v,0) AS DOUBLE) AS d
-  FROM (SELECT x, unnest(range(480)) AS y FROM (SELECT unnest(range(528)) AS x)) g LEFT JOIN cnt a ON a.rx=x AND a.ry=y LEFT JOIN cnt b ON b.rx=x+1 AND b.ry=y LEFT JOIN cnt c ON c.rx=x+1 AND c.ry=y+1 LEFT JOIN cnt d ON d.rx=x AND d.ry=y+1))""",
-  "k AS (SELECT *, (a>12)::INTEGER*8+(b>12)::INTEGER*4+(c>12)::INTEGER*2+(d>12)::INTEGER AS kase FROM sq)")
-  + "\nUNION ALL ".join(f"SELECT rx, ry, kase, CAST({n} AS INTEGER) AS seg, CAST({_SIDE[s[0]][0]} AS DOUBLE) AS x0, CAST({_SIDE[s[0]][1]} AS DOUBLE) AS y0, CAST({_SIDE[s[1]][0]} AS DOUBLE) AS x1, CAST({_SIDE[s[1]][1]} AS DOUBLE) AS y1 FROM k WHERE kase={c}" for c, ss in _LINES.items() for n, s in enumerate(ss)))
+def _segments_sql(cells: str) -> str:
+    """Segments from runs of outside corners: clockwise (UL, UR, LR, LL), a run k..m has its line from side m to side k-1 of (N, E, S, W)."""
+    return f"""sq AS (SELECT x AS rx, y AS ry, CAST(coalesce(a.v,0) AS DOUBLE) AS a, CAST(coalesce(b.v,0) AS DOUBLE) AS b, CAST(coalesce(c.v,0) AS DOUBLE) AS c, CAST(coalesce(d.v,0) AS DOUBLE) AS d
+  FROM (SELECT x, unnest(range(480)) AS y FROM (SELECT unnest(range(528)) AS x)) g LEFT JOIN {cells} a ON a.rx=x AND a.ry=y LEFT JOIN {cells} b ON b.rx=x+1 AND b.ry=y LEFT JOIN {cells} c ON c.rx=x+1 AND c.ry=y+1 LEFT JOIN {cells} d ON d.rx=x AND d.ry=y+1),
+kk AS (SELECT *, (a>12)::INTEGER*8+(b>12)::INTEGER*4+(c>12)::INTEGER*2+(d>12)::INTEGER AS raw FROM sq),
+k AS (SELECT *, CASE WHEN raw<15 THEN raw WHEN rx=0 THEN 6 WHEN rx=527 THEN 9 WHEN ry=0 THEN 3 WHEN ry=479 THEN 12 ELSE 15 END AS kase FROM kk),
+f AS (SELECT rx, ry, kase, [kase//8%2, kase//4%2, kase//2%2, kase%2] AS c, [rx+{_CUT.format('a', 'b')}, rx+1.0, rx+{_CUT.format('d', 'c')}, rx+0.0] AS sx, [ry+0.0, ry+{_CUT.format('b', 'c')}, ry+1.0, ry+{_CUT.format('a', 'd')}] AS sy FROM k WHERE kase BETWEEN 1 AND 14),
+r AS (SELECT *, CASE WHEN c[(k0+1)%4+1]=1 THEN k0 WHEN c[(k0+2)%4+1]=1 THEN k0+1 ELSE k0+2 END%4 AS m FROM (SELECT *, unnest(range(4)) AS k0 FROM f) WHERE c[k0+1]=0 AND c[(k0+3)%4+1]=1)
+SELECT rx, ry, CAST(kase AS INTEGER) AS kase, CAST(row_number() OVER (PARTITION BY rx, ry ORDER BY k0)-1 AS INTEGER) AS seg, CAST(sx[m+1] AS DOUBLE) AS x0, CAST(sy[m+1] AS DOUBLE) AS y0, CAST(sx[(k0+3)%4+1] AS DOUBLE) AS x1, CAST(sy[(k0+3)%4+1] AS DOUBLE) AS y1 FROM r"""
+
+
+@query(W(i.SQL_FP, i.SQL_CNT, _segments_sql("cnt")))
 def contour_segments(spark: SparkSession, d: str) -> DataFrame:
     return raster.contour_segments(i.counts(spark, d), i.GRID, 12)
 
 
+SQL_SOLID = "solid AS (SELECT rx, ry, CAST(20 AS BIGINT) AS v FROM (SELECT unnest(range(40)) AS rx), (SELECT unnest(range(50)) AS ry) UNION ALL SELECT rx, ry, v+13 FROM cnt WHERE rx>=40 OR ry>=50)"
+
+
+@query(W(i.SQL_FP, i.SQL_CNT, SQL_SOLID, _segments_sql("solid")))
+def contour_border(spark: SparkSession, d: str) -> DataFrame:
+    """A solid block in the corner of the grid, and single cells elsewhere."""
+    solid = spark.range(2000).select((F.col("id") % 40).alias("rx"), F.expr("id div 40").alias("ry"), F.lit(20).cast("long").alias("v"))
+    rest = i.counts(spark, d).where("rx >= 40 or ry >= 50").select("rx", "ry", F.col("v") + 13)
+    return raster.contour_segments(solid.union(rest), i.GRID, 12)
+
+
+SQL_FRAMED = "framed AS (SELECT x AS rx, y AS ry, CASE WHEN x IN (0,528) OR y IN (0,480) THEN 12+1e-9 ELSE CAST(v AS DOUBLE) END AS v FROM (SELECT x, unnest(range(481)) AS y FROM (SELECT unnest(range(529)) AS x)) LEFT JOIN cnt ON rx=x AND ry=y WHERE v IS NOT NULL OR x IN (0,528) OR y IN (0,480))"
+
+
+@query(W(i.SQL_FP, i.SQL_CNT, SQL_FRAMED) + "SELECT rx, ry, v FROM framed")
+def framed(spark: SparkSession, d: str) -> DataFrame:
+    return raster.framed(i.counts(spark, d), i.GRID, 12)
+
+
+@query(W(i.SQL_FP, i.SQL_CNT, SQL_FRAMED, _segments_sql("framed")))
+def framed_contour(spark: SparkSession, d: str) -> DataFrame:
+    return raster.contour_segments(raster.framed(i.counts(spark, d), i.GRID, 12), i.GRID, 12)
+
+
 @query(W(i.SQL_FP, i.SQL_Z1) + """SELECT id, rx, ry, 2*(least(maxx, 833*(rx+1))-greatest(minx, 833*rx)) * (least(maxy, 400000-833*ry)-greatest(miny, 400000-833*(ry+1))) AS area2 FROM (SELECT *, unnest(range((400000-maxy)//833, (400000-miny)//833+1)) AS ry FROM (SELECT *, unnest(range(minx//833, maxx//833+1)) AS rx FROM z1))
 WHERE least(maxx, 833*(rx+1))>greatest(minx, 833*rx) AND least(maxy, 400000-833*ry)>greatest(miny, 400000-833*(ry+1))""")
 def grid_slice(spark: SparkSession, d: str) -> DataFrame:
@@ -397,8 +427,9 @@ def corner_shapes(spark: SparkSession, d: str) -> DataFrame:
     return c.select("id", "rx", "ry", "corner", F.size(F.col("geom")[0][0]).alias("vertices"), first["x"].alias("corner_x"), first["y"].alias("corner_y"))
 
 
-@query(W(i.SQL_FP, i.SQL_CNT, i.SQL_PARTS, TWO, "df AS (SELECT CAST(coalesce(l,0)-coalesce(r,0) AS DOUBLE) AS v FROM t WHERE coalesce(l,0)<>coalesce(r,0))", "gr AS (SELECT CAST(sign(v) AS INTEGER) AS sign, v, count(*) AS n FROM df GROUP BY ALL)", "rk AS (SELECT *, sum(n) OVER (PARTITION BY sign ORDER BY v) AS upto, sum(n) OVER (PARTITION BY sign) AS total FROM gr)")
-       + "SELECT sign, CAST(floor((upto-1)*least(155,total)/total) AS INTEGER) AS bin, max(v) AS upper FROM rk GROUP BY ALL")
+@query(W(i.SQL_FP, i.SQL_CNT, i.SQL_PARTS, TWO, "df AS (SELECT CAST(coalesce(l,0)-coalesce(r,0) AS DOUBLE) AS v FROM t WHERE abs(coalesce(l,0)-coalesce(r,0))>1)", "ls AS (SELECT CAST(sign(v) AS INTEGER) AS sign, list(v ORDER BY v) AS vs, count(*) AS n, least(155, count(*)) AS k FROM df GROUP BY sign)")
+       + """SELECT sign, CAST(b AS INTEGER) AS bin, CASE WHEN sign<0 THEN vs[CAST(floor(b/k*(n-1)) AS BIGINT)+1] ELSE vs[CAST(least(ceil(b/k*greatest(n-2,0))+1, n-1) AS BIGINT)+1] END AS upper, CAST(CASE WHEN sign<0 THEN 255-b ELSE 255-k+b END AS INTEGER) AS alpha
+  FROM (SELECT *, unnest(range(k)) AS b FROM ls)""")
 def color_ramp(spark: SparkSession, d: str) -> DataFrame:
     return raster.color_ramp(raster.diff(i.counts(spark, d), i.parts(spark, d)))
 

@@ -182,14 +182,14 @@ def read_zonal_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("feature_id int, square_count int, square_sum double").csv(path)
 
 
-def ramp_text(ramp: DataFrame) -> str:
-    """A discrete colour ramp as text: negative values in reds, positive in blues. At most two signs of bounded bins."""
-    lines = ["INTERPOLATION:DISCRETE"]
-    for r in sorted(ramp.collect(), key=lambda r: r["upper"]):
-        shade = 255 - min(155, r["bin"])
-        red, green, blue = (255, shade, shade) if r["sign"] < 0 else (shade, shade, 255)
-        lines.append(f"{r['upper']:.10g},{red},{green},{blue},255,{r['upper']:.4g}")
-    return "\n".join(lines) + "\n"
+def ramp_text(ramp: DataFrame, equal: float = 1.0) -> str:
+    """A discrete colour ramp as text: classes below, the band that counts as equal, classes above. At most two signs of bounded bins."""
+    # fixed values: the header and the colours of the three kinds
+    header, below, same, above = "# QGIS Generated Color Map Export File\nINTERPOLATION:DISCRETE\n", "213,94,0", "0,158,115,255", "240,228,66"
+    rows = sorted(ramp.collect(), key=lambda r: r["bin"])
+    line = lambda r, colour: f"{r['upper']:.10g},{colour},{r['alpha']},<= {r['upper']:.10g}\n"
+    middle = f"{equal:g},{same}, Equal (-{equal:g} <= value <= {equal:g})\n"
+    return header + "".join(line(r, below) for r in rows if r["sign"] < 0) + middle + "".join(line(r, above) for r in rows if r["sign"] > 0)
 
 
 # rasters ----------------------------------------------------------------------------------------------

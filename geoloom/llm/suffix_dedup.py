@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm import texthash
-from geoloom.llm.tables import row_key, texts
+from geoloom.llm.tables import texts
 from geoloom.plans.batches import groups
 from geoloom.plans.materialize import materialize
 
-GRAM = 50
+GRAM, HOT = 50, 1024
 SEGMENT, RUN, RUN_BYTES = 1 << 20, 40_000, 16 << 20
 OTHER_BASE = 0xC2B2AE3D27D4EB4F
 
@@ -365,29 +365,48 @@ def remove_repeats(docs: DataFrame, length: int = 200, hot: int = 2000) -> DataF
     """
     if not GRAM <= length <= GRAM + 200:
         raise ValueError(f"length must be from {GRAM} to {GRAM + 200}")
-    keyed = docs.select(row_key().alias("r"), "doc_id", "text")
-    marks = keyed.select("r", "text").mapInArrow(_anchor_rows(length), "gram long, stretch long, r long, pos long")
+    # rows have numbers of their own, kept with the texts in the shared folder: no two rows are taken for one
+    keyed = materialize(docs.select(F.monotonically_increasing_id().alias("r"), "doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    marks = materialize(keyed.select("r", "text").mapInArrow(_anchor_rows(length), "gram long, stretch long, r long, pos long"))
     often = marks.groupBy("gram").agg(F.count("*").alias("n"), F.min("stretch").alias("low"), F.max("stretch").alias("high")).where("n > 1")
-    found = materialize(marks.join(often, "gram").select("gram", "stretch", "r", "pos", (F.col("low") != F.col("high")).alias("mixed")))
+    often = materialize(often.select("gram", "n", (F.col("low") != F.col("high")).alias("mixed")))
+    found = materialize(_join_apart(marks, often, ["gram"]).select("gram", "stretch", "r", "pos", "mixed"))
     kinds = found.where("mixed").groupBy("gram", "stretch").agg(F.count("*").alias("copies"), F.min(F.struct("r", "pos")).alias("one"))
     kinds = materialize(kinds.select("gram", "stretch", "copies", "one.r", "one.pos"))
     windows = F.shiftright("pos", 8).bitwiseAND(255) - F.col("pos").bitwiseAND(255) + 1
-    crowd = kinds.groupBy("gram").agg((F.count("*") > hot).alias("hot"), F.count("*").alias("n"), F.sum(windows).alias("windows"))
+    crowd = materialize(kinds.groupBy("gram").agg((F.count("*") > hot).alias("hot"), F.count("*").alias("n"), F.sum(windows).alias("windows")))
     sums = crowd.agg(F.sum("n").alias("n"), F.sum(F.when(F.col("hot"), F.col("windows"))).alias("windows")).first()
     parts, window_parts = 1 + (sums["n"] or 0) // 10_000, 1 + (sums["windows"] or 0) // 40_000
-    wanted = kinds.join(crowd.select("gram", "hot"), "gram").groupBy("r").agg(F.collect_list(F.struct("gram", "copies", "pos", "hot")).alias("wanted"))
+    wanted = _join_apart(kinds, crowd.select("gram", "hot", "n"), ["gram"]).groupBy("r").agg(F.collect_list(F.struct("gram", "copies", "pos", "hot")).alias("wanted"))
     packed = keyed.mapInArrow(_pack, "r long, doc_id long, packed binary")
     runs = materialize(packed.select("r", "packed").join(wanted, "r").mapInArrow(_runs(length, parts, window_parts), RUN_SCHEMA))
-    sorted_runs = runs.where("part >= 0").repartition(min(4 * (parts + window_parts), 2000), "part").sortWithinPartitions("part", "run", "seq")
+    all_parts = parts + window_parts
+    sorted_runs = runs.where("part >= 0").repartition(min(4 * all_parts, max(2000, all_parts // 16)), "part").sortWithinPartitions("part", "run", "seq")
     spans = sorted_runs.mapInArrow(_merged(length, parts), SPAN_SCHEMA)
     settled = runs.where("part = -1").select("r", F.col("anchor").alias("start"), (F.col("anchor") + length).alias("end"))
-    whole = found.join(kinds.where("copies > 1").select("gram", "stretch", F.lit(True).alias("copied")), ["gram", "stretch"], "left").where("not mixed or copied")
+    copied = kinds.where("copies > 1").select("gram", "stretch", F.col("copies").alias("n"))
+    whole = found.where("not mixed").select("r", "pos").union(_join_apart(found.where("mixed"), copied, ["gram", "stretch"]).select("r", "pos"))
     anchor, high, low = F.shiftright("pos", 16), F.shiftright("pos", 8).bitwiseAND(255), F.col("pos").bitwiseAND(255)
     counted = whole.select("r", (anchor - high).alias("start"), (anchor - low + length).alias("end"))
     by_row = counted.union(spans).union(settled).distinct().groupBy("r").agg(F.collect_list(F.struct("start", "end")).alias("found"))
     return packed.join(by_row, "r", "left").mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, spans array<array<long>>, kept binary")
 
 
+def _join_apart(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Inner join with ``keys`` (on, n rows of each, more); rows of very common keys aren't brought together in one task.
+
+    Keys that hold over a ``HOT``-th of all rows, fewer than ``HOT`` whatever the size, are broadcast; the
+    rest is joined as usual.
+    """
+    total = keys.agg(F.sum("n")).first()[0] or 0
+    common_key = F.col("n") * HOT > total
+    apart = F.broadcast(keys.where(common_key).withColumn("apart", F.lit(True)))
+    marked = rows.join(apart, on, "left")
+    more = [c for c in keys.columns if c not in on]
+    usual = marked.where("apart is null").drop("apart", *more).join(keys.where(~common_key), on)
+    return marked.where("apart").drop("apart").unionByName(usual)
+
+
 def digest(result: DataFrame) -> DataFrame:
     """The query's columns, from remove_repeats()."""
     return result.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -137,6 +137,15 @@ class GridSpec:
         return width * height
 
 
+def square_size(minx: float, miny: float, maxx: float, maxy: float, metres: float) -> tuple[float, float]:
+    """Width and height in degrees of a square of so many metres: means over the two sides of a box, by geodesics."""
+    from geoloom.functions.kernel import geodesic_distance
+
+    across = [(maxx - minx) / (geodesic_distance(minx, y, maxx, y) / metres) for y in (miny, maxy)]
+    along = [(maxy - miny) / (geodesic_distance(x, miny, x, maxy) / metres) for x in (minx, maxx)]
+    return sum(across) / 2, sum(along) / 2
+
+
 def haversine(lon1: float, lat1: float, lon2: float, lat2: float) -> float:
     a, b = math.radians(lat1), math.radians(lat2)
     h = math.sin((b - a) / 2) ** 2 + math.cos(a) * math.cos(b) * math.sin(math.radians(lon2 - lon1) / 2) ** 2

@@ -8,9 +8,10 @@ keys, which adaptive execution splits.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.operators.graph import connected_components
@@ -73,22 +74,30 @@ def anti(left: DataFrame, right: DataFrame, size: float, id_col: str = "id", exa
     return left.join(met, id_col, "left_anti")
 
 
-def nearest(points: DataFrame, places: DataFrame, size: float, levels: int = 24) -> DataFrame:
-    """(id, place_id, d2): for each point (id, x, y) the place (place_id, px, py) at the least squared distance; ties to the least place_id.
+def nearest(points: DataFrame, places: DataFrame, size: float, k: int = 1) -> DataFrame:
+    """(id, place_id, d2, rank): for each point (id, x, y) the k places (place_id, px, py) at the least squared distances; ties to the least place_id.
 
-    Places are listed in a pyramid of grids, each level twice as coarse. A point's level is the finest whose
-    own cell holds a place; that place is no farther than the cell's diagonal, so the nearest is among
-    the 5 x 5 cells around at that level. Work per point doesn't depend on how far away places are. The
-    pyramid covers coordinates from -size * 2**(levels - 2) to twice as much above zero; points outside get no row.
+    Places are listed in a pyramid of grids over all coordinates, each level twice as coarse, from cells of
+    ``size`` to one that holds all. A point's level is the finest whose own cell holds k places; they are no
+    farther than the cell's diagonal, so the nearest k are among the 5 x 5 cells around at that level. Work
+    per point doesn't depend on how far away places are. No places, no rows.
     """
+    ends = points.select("x", "y").union(places.select("px", "py")).agg(F.min("x").alias("a"), F.min("y").alias("b"), F.max("x").alias("c"), F.max("y").alias("d")).first()
+    if ends["a"] is None:
+        ends = {"a": 0.0, "b": 0.0, "c": 0.0, "d": 0.0}
+    width = max(float(ends["c"]) - float(ends["a"]), float(ends["d"]) - float(ends["b"]), float(size))
+    levels = 1 + math.ceil(math.log2(width / size) + 1)
     level = F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level")
-    at = lambda c: F.floor((F.col(c) + float(size) * 2 ** (levels - 2)) / (F.lit(float(size)) * F.pow(F.lit(2.0), F.col("level")))).cast("long")
-    listed = places.select("place_id", "px", "py", level).withColumns({"cx": at("px"), "cy": at("py")})
-    held = listed.select("level", "cx", "cy").distinct()
-    seen = points.select("id", "x", "y", level).withColumns({"cx": at("x"), "cy": at("y")}).join(held, ["level", "cx", "cy"], "left_semi")
+    at = lambda c, low: F.floor((F.col(c) - float(low)) / (F.lit(float(size)) * F.pow(F.lit(2.0), F.col("level")))).cast("long")
+    listed = places.select("place_id", "px", "py", level).withColumns({"cx": at("px", ends["a"]), "cy": at("py", ends["b"])})
+    held = listed.groupBy("level", "cx", "cy").agg(F.count("*").alias("n")).where((F.col("n") >= k) | (F.col("level") == levels - 1)).drop("n")
+    seen = points.select("id", "x", "y", level).withColumns({"cx": at("x", ends["a"]), "cy": at("y", ends["b"])}).join(held, ["level", "cx", "cy"], "left_semi")
     own = seen.groupBy("id").agg(F.min(F.struct("level", "cx", "cy", "x", "y")).alias("s")).select("id", "s.*")
     offsets = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-2, 3) for j in range(-2, 3)])).alias("o")
     around = own.select("id", "x", "y", "level", "cx", "cy", offsets).select("id", "x", "y", "level", (F.col("cx") + F.col("o.i")).alias("cx"), (F.col("cy") + F.col("o.j")).alias("cy"))
     dx, dy = F.col("x") - F.col("px"), F.col("y") - F.col("py")
-    found = around.join(listed, ["level", "cx", "cy"]).select("id", F.struct((dx * dx + dy * dy).alias("d2"), "place_id").alias("n"))
-    return found.groupBy("id").agg(F.min("n").alias("n")).select("id", "n.place_id", "n.d2")
+    found = around.join(listed, ["level", "cx", "cy"]).select("id", (dx * dx + dy * dy).alias("d2"), "place_id")
+    if k == 1:
+        return found.groupBy("id").agg(F.min(F.struct("d2", "place_id")).alias("n")).select("id", "n.place_id", "n.d2", F.lit(1).alias("rank"))
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("d2", "place_id"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select("id", "place_id", "d2", "rank")

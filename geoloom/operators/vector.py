@@ -81,6 +81,36 @@ def covers(a: Column | str, b: Column | str) -> Column:
     return predicate_udf(kernel.covers)(a, b)
 
 
+def covered_by(a: Column | str, b: Column | str) -> Column:
+    return predicate_udf(kernel.within)(a, b)
+
+
+def contains_properly(a: Column | str, b: Column | str) -> Column:
+    return predicate_udf(kernel.contains_properly)(a, b)
+
+
+def touches(a: Column | str, b: Column | str) -> Column:
+    return predicate_udf(kernel.touches)(a, b)
+
+
+def overlaps(a: Column | str, b: Column | str) -> Column:
+    return predicate_udf(kernel.overlaps)(a, b)
+
+
+def crosses(a: Column | str, b: Column | str) -> Column:
+    return predicate_udf(kernel.crosses)(a, b)
+
+
+def largest_polygon(geom: Column | str) -> Column:
+    """The polygon of most area, the first of equal ones, as a geometry of its own; null for none."""
+    polys = F.col(geom) if isinstance(geom, str) else geom
+    best = F.reduce(
+        F.transform(polys, lambda p: F.struct(geo.area(F.array(p)).alias("a"), p.alias("p"))), F.lit(None).cast(f"struct<a:double,p:{geo.GEOM[6:-1]}>"),
+        lambda done, x: F.when(done.isNull() | (x["a"] > done["a"]), x).otherwise(done),
+    )
+    return F.when(best.isNotNull(), F.array(best["p"]))
+
+
 def disjoint(a: Column | str, b: Column | str) -> Column:
     return predicate_udf(kernel.disjoint)(a, b)
 

@@ -211,7 +211,7 @@ def nearest_facility(spark: SparkSession, d: str) -> DataFrame:
     # in half units, so that centres are integers
     p = i.counts(spark, d).select((F.col("rx") * 529 + F.col("ry") * 1_000_000).alias("id"), "rx", "ry", (F.col("rx") * 1666 + 833).alias("x"), (F.lit(800_000) - F.col("ry") * 1666 - 833).alias("y"))
     places = i.facilities(spark, d).select("place_id", (F.col("px") * 2).alias("px"), (F.col("py") * 2).alias("py"))
-    return joins.nearest(p, places, 20_000, levels=9).join(p, "id").select("rx", "ry", "place_id", "d2")
+    return joins.nearest(p, places, 20_000).join(p, "id").select("rx", "ry", "place_id", "d2")
 
 
 # two generations ---------------------------------------------------------------------------------
@@ -361,18 +361,18 @@ def polygonize_edges(spark: SparkSession, d: str) -> DataFrame:
 _CUT = "CASE WHEN {1}={0} THEN 0.5 ELSE least(greatest((12.0-{0})/({1}-{0}),0.0),1.0) END"
 
 
-def _segments_sql(cells: str) -> str:
+def segments_sql(cells: str, cols: int = 529, rows: int = 481) -> str:
     """Segments from runs of outside corners: clockwise (UL, UR, LR, LL), a run k..m has its line from side m to side k-1 of (N, E, S, W)."""
     return f"""sq AS (SELECT x AS rx, y AS ry, CAST(coalesce(a.v,0) AS DOUBLE) AS a, CAST(coalesce(b.v,0) AS DOUBLE) AS b, CAST(coalesce(c.v,0) AS DOUBLE) AS c, CAST(coalesce(d.v,0) AS DOUBLE) AS d
-  FROM (SELECT x, unnest(range(480)) AS y FROM (SELECT unnest(range(528)) AS x)) g LEFT JOIN {cells} a ON a.rx=x AND a.ry=y LEFT JOIN {cells} b ON b.rx=x+1 AND b.ry=y LEFT JOIN {cells} c ON c.rx=x+1 AND c.ry=y+1 LEFT JOIN {cells} d ON d.rx=x AND d.ry=y+1),
+  FROM (SELECT x, unnest(range({rows - 1})) AS y FROM (SELECT unnest(range({cols - 1})) AS x)) g LEFT JOIN {cells} a ON a.rx=x AND a.ry=y LEFT JOIN {cells} b ON b.rx=x+1 AND b.ry=y LEFT JOIN {cells} c ON c.rx=x+1 AND c.ry=y+1 LEFT JOIN {cells} d ON d.rx=x AND d.ry=y+1),
 kk AS (SELECT *, (a>12)::INTEGER*8+(b>12)::INTEGER*4+(c>12)::INTEGER*2+(d>12)::INTEGER AS raw FROM sq),
-k AS (SELECT *, CASE WHEN raw<15 THEN raw WHEN rx=0 THEN 6 WHEN rx=527 THEN 9 WHEN ry=0 THEN 3 WHEN ry=479 THEN 12 ELSE 15 END AS kase FROM kk),
+k AS (SELECT *, CASE WHEN raw<15 THEN raw WHEN rx=0 THEN 6 WHEN rx={cols - 2} THEN 9 WHEN ry=0 THEN 3 WHEN ry={rows - 2} THEN 12 ELSE 15 END AS kase FROM kk),
 f AS (SELECT rx, ry, kase, [kase//8%2, kase//4%2, kase//2%2, kase%2] AS c, [rx+{_CUT.format('a', 'b')}, rx+1.0, rx+{_CUT.format('d', 'c')}, rx+0.0] AS sx, [ry+0.0, ry+{_CUT.format('b', 'c')}, ry+1.0, ry+{_CUT.format('a', 'd')}] AS sy FROM k WHERE kase BETWEEN 1 AND 14),
 r AS (SELECT *, CASE WHEN c[(k0+1)%4+1]=1 THEN k0 WHEN c[(k0+2)%4+1]=1 THEN k0+1 ELSE k0+2 END%4 AS m FROM (SELECT *, unnest(range(4)) AS k0 FROM f) WHERE c[k0+1]=0 AND c[(k0+3)%4+1]=1)
 SELECT rx, ry, CAST(kase AS INTEGER) AS kase, CAST(row_number() OVER (PARTITION BY rx, ry ORDER BY k0)-1 AS INTEGER) AS seg, CAST(sx[m+1] AS DOUBLE) AS x0, CAST(sy[m+1] AS DOUBLE) AS y0, CAST(sx[(k0+3)%4+1] AS DOUBLE) AS x1, CAST(sy[(k0+3)%4+1] AS DOUBLE) AS y1 FROM r"""
 
 
-@query(W(i.SQL_FP, i.SQL_CNT, _segments_sql("cnt")))
+@query(W(i.SQL_FP, i.SQL_CNT, segments_sql("cnt")))
 def contour_segments(spark: SparkSession, d: str) -> DataFrame:
     return raster.contour_segments(i.counts(spark, d), i.GRID, 12)
 
@@ -380,7 +380,7 @@ def contour_segments(spark: SparkSession, d: str) -> DataFrame:
 SQL_SOLID = "solid AS (SELECT rx, ry, CAST(20 AS BIGINT) AS v FROM (SELECT unnest(range(40)) AS rx), (SELECT unnest(range(50)) AS ry) UNION ALL SELECT rx, ry, v+13 FROM cnt WHERE rx>=40 OR ry>=50)"
 
 
-@query(W(i.SQL_FP, i.SQL_CNT, SQL_SOLID, _segments_sql("solid")))
+@query(W(i.SQL_FP, i.SQL_CNT, SQL_SOLID, segments_sql("solid")))
 def contour_border(spark: SparkSession, d: str) -> DataFrame:
     """A solid block in the corner of the grid, and single cells elsewhere."""
     solid = spark.range(2000).select((F.col("id") % 40).alias("rx"), F.expr("id div 40").alias("ry"), F.lit(20).cast("long").alias("v"))
@@ -396,7 +396,7 @@ def framed(spark: SparkSession, d: str) -> DataFrame:
     return raster.framed(i.counts(spark, d), i.GRID, 12)
 
 
-@query(W(i.SQL_FP, i.SQL_CNT, SQL_FRAMED, _segments_sql("framed")))
+@query(W(i.SQL_FP, i.SQL_CNT, SQL_FRAMED, segments_sql("framed")))
 def framed_contour(spark: SparkSession, d: str) -> DataFrame:
     return raster.contour_segments(raster.framed(i.counts(spark, d), i.GRID, 12), i.GRID, 12)
 
@@ -478,19 +478,10 @@ def contour_rings(spark: SparkSession, d: str) -> DataFrame:
     return out.select("is_hole", F.round(geo.area("geom"), 3).alias("area"), F.round("minx", 6).alias("minx"), F.round("miny", 6).alias("miny"))
 
 
-@query()
-def grid_slice_polygons(spark: SparkSession, d: str) -> DataFrame:
-    out = vector.grid_slice(_shapes(spark, d), i.GRID, "fid")
-    return out.select("id", "rx", "ry", F.round(geo.area("geom"), 3).alias("area"))
-
-
-@query()
-def simplify(spark: SparkSession, d: str) -> DataFrame:
-    out = vector.simplify(_shapes(spark, d), 25)
-    return out.select("fid", F.size(F.col("geom")[0][0]).alias("vertices"), geo.area("geom").alias("area"))
-
-
 @query()
 def proj_accuracy(spark: SparkSession, d: str) -> DataFrame:
     z = i.zones1(spark, d).agg(F.min("minx").alias("a"), F.min("miny").alias("b"), F.max("maxx").alias("c"), F.max("maxy").alias("e")).first()
     return settle.projection_accuracy(spark, z["a"] / 1e6 + 3, z["b"] / 1e6 + 6, z["c"] / 1e6 + 3, z["e"] / 1e6 + 6)
+
+
+from geoloom.plans import shape_queries  # noqa: E402, F401  registers its queries

@@ -173,6 +173,14 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", batch: int = 10_000, **properties: str) -> None:
+    """Rows of a frame into a database table, in batches from every partition; geometries go as WKB."""
+    from pyspark.sql.types import ArrayType
+
+    flat = [to_wkb(f.name).alias(f.name) if isinstance(f.dataType, ArrayType) else F.col(f.name) for f in df.schema.fields]
+    df.select(*flat).write.mode(mode).option("batchsize", batch).jdbc(url, table, properties=properties)
+
+
 def write_zonal_csv(zonal: DataFrame, path: str) -> None:
     """Without a header: id, count, sum, by id."""
     zonal.select("id", "square_count", "square_sum").orderBy("id").write.mode("overwrite").csv(path)

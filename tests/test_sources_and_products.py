@@ -147,3 +147,27 @@ def test_streaming_counts(spark, tmp_path):
     q.stop()
     want = windowed_counts(events, grid)
     assert sorted(map(tuple, spark.table("counted").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_square_of_metres():
+    from geoloom.functions.grid import square_size
+
+    width, height = square_size(3.0, 6.0, 4.0, 7.0, 100.0)
+    assert abs(height * 110_600 - 100) < 0.3 and abs(width * 111_320 * 0.9936 - 100) < 0.3  # degrees of latitude and, at 6.5, of longitude
+
+
+def test_database_sink(spark, tmp_path):
+    from geoloom.sources import layers
+
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id long, name string")
+    url = f"jdbc:derby:{tmp_path}/db;create=true"
+    try:
+        layers.write_jdbc(df, url, "places", driver="org.apache.derby.jdbc.EmbeddedDriver")
+    except Exception as e:  # noqa: BLE001
+        if "EmbeddedDriver" in str(e):
+            import pytest
+
+            pytest.skip("no driver in this Spark")
+        raise
+    layers.write_jdbc(df, url, "places", mode="append", driver="org.apache.derby.jdbc.EmbeddedDriver")
+    assert spark.read.jdbc(url, "places", properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"}).count() == 4

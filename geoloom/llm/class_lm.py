@@ -201,8 +201,10 @@ def _contexts(shared, head: int):
                         at = new[words[i]] = len(new)
                         new_class.append(int(known.spelled[spelling(words[i])]))
                     ids[i] = n_listed + at
-                of = np.concatenate((known.of, np.array(new_class, np.int64))) if len(new_class) else known.of
-                path = np.concatenate(([known.end], of[ids], [known.end]))
+                path = np.full(len(ids) + 2, known.end, np.int64)
+                listed = ids < n_listed
+                path[1:-1][listed] = known.of[ids[listed]]
+                path[1:-1][~listed] = [new_class[i - n_listed] for i in ids[~listed].tolist()]
                 tail = np.flatnonzero(ids >= head)
                 held += [ids[tail] * (2 * CLASSES) + path[tail], ids[tail] * (2 * CLASSES) + CLASSES + path[tail + 2]]
                 size += 2 * len(tail)
@@ -226,7 +228,9 @@ def _exchanged(table: np.ndarray, spelled: np.ndarray):
             # what the likelihood of the classes gains by one more word of these neighbours in a class
             gain = before @ log + after @ log.T - np.outer(c, before_of) - np.outer(after.sum(1), after_of)
             gain[:, -1] = -np.inf
-            of = np.where(c >= LEAST, gain.argmax(1), [spelled[spelling(w)] for w in words])
+            of = gain.argmax(1)
+            for i in np.flatnonzero(c < LEAST).tolist():
+                of[i] = spelled[spelling(words[i])]
             return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(c.astype(np.int64)), pa.array(of.astype(np.int32))], names=["w", "c", "class"])
 
         last, held = None, None

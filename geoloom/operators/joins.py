@@ -74,11 +74,11 @@ def anti(left: DataFrame, right: DataFrame, size: float, id_col: str = "id", exa
     return left.join(met, id_col, "left_anti")
 
 
-def nearest(points: DataFrame, places: DataFrame, size: float, k: int = 1) -> DataFrame:
+def nearest(points: DataFrame, places: DataFrame, size: float, levels: int = 1, k: int = 1) -> DataFrame:
     """(id, place_id, d2, rank): for each point (id, x, y) the k places (place_id, px, py) at the least squared distances; ties to the least place_id.
 
     Places are listed in a pyramid of grids over all coordinates, each level twice as coarse, from cells of
-    ``size`` to one that holds all. A point's level is the finest whose own cell holds k places; they are no
+    ``size`` to one that holds all, ``levels`` of them at least. A point's level is the finest whose own cell holds k places; they are no
     farther than the cell's diagonal, so the nearest k are among the 5 x 5 cells around at that level. Work
     per point doesn't depend on how far away places are. No places, no rows.
     """
@@ -86,7 +86,7 @@ def nearest(points: DataFrame, places: DataFrame, size: float, k: int = 1) -> Da
     if ends["a"] is None:
         ends = {"a": 0.0, "b": 0.0, "c": 0.0, "d": 0.0}
     width = max(float(ends["c"]) - float(ends["a"]), float(ends["d"]) - float(ends["b"]), float(size))
-    levels = 1 + math.ceil(math.log2(width / size) + 1)
+    levels = max(levels, 1 + math.ceil(math.log2(width / size) + 1))
     level = F.explode(F.sequence(F.lit(0), F.lit(levels - 1))).alias("level")
     at = lambda c, low: F.floor((F.col(c) - float(low)) / (F.lit(float(size)) * F.pow(F.lit(2.0), F.col("level")))).cast("long")
     listed = places.select("place_id", "px", "py", level).withColumns({"cx": at("px", ends["a"]), "cy": at("py", ends["b"])})

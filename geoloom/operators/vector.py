@@ -286,12 +286,13 @@ def centre_check(points: DataFrame, slices: DataFrame, grid: GridSpec) -> DataFr
     return named.select("id", "rx", "ry", F.when(right & top, 0).when(right, 1).when(top, 3).otherwise(2).alias("corner"))
 
 
-def contour_rings(data: DataFrame, grid: GridSpec, level: float) -> DataFrame:
+def contour_rings(data: DataFrame, grid: GridSpec, level: float, pad: bool = False) -> DataFrame:
     """(id, is_hole, geom): closed contours as polygons in coordinates; lines that pass a place twice are cut into loops.
 
-    What lies outside the grid counts as 0, so every contour closes.
+    With ``pad`` what lies outside the grid counts as 0, so every contour closes; without, lines that leave the
+    grid between solid squares of its border stay open and give no polygon.
     """
-    segments = materialize(raster.contour_segments(data, grid, level, pad=True))
+    segments = materialize(raster.contour_segments(data, grid, level, pad))
     number = F.col("rx") + 1 + (F.col("ry") + 1) * (grid.cols + 2)
     squares = segments.select("rx", "ry", number.alias("sq")).distinct()
     side = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 0), (1, 0), (0, 1))])).alias("d")

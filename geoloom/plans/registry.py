@@ -474,7 +474,7 @@ def fill_centres(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def contour_rings(spark: SparkSession, d: str) -> DataFrame:
-    out = vector.contour_rings(i.counts(spark, d), i.GRID, 12)
+    out = vector.contour_rings(i.counts(spark, d), i.GRID, 12, pad=True)
     return out.select("is_hole", F.round(geo.area("geom"), 3).alias("area"), F.round("minx", 6).alias("minx"), F.round("miny", 6).alias("miny"))
 
 

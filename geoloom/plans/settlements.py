@@ -38,7 +38,7 @@ def settlements(buildings: DataFrame, reference: GridSpec, config: Config = Conf
     points = fixed.withColumn("c", c).select("fid", F.col("c.x").alias("x"), F.col("c.y").alias("y"))
     points = materialize(points.select("fid", "x", "y", grid.cell_x("x").alias("rx"), grid.cell_y("y").alias("ry")))
     counts = materialize(raster.burn_count(points, grid))
-    contours = vector.contour_rings(counts, grid, config.contour_level).withColumn("area", vector.ellipsoid_area("geom"))
+    contours = vector.contour_rings(counts, grid, config.contour_level, pad=True).withColumn("area", vector.ellipsoid_area("geom"))
     contours = materialize(contours.withColumn("id", F.monotonically_increasing_id()))
     outlines = materialize(outlines)
     corners = vector.centre_check(points, vector.grid_slice(outlines, grid), grid).select(settle.corner_shape(grid).alias("geom"))

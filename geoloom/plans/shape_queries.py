@@ -123,7 +123,7 @@ def dissolve_area(spark: SparkSession, d: str) -> DataFrame:
 @query(W(i.SQL_FP, i.SQL_CNT, "ring AS (SELECT rx+1 AS rx, ry+1 AS ry, v FROM cnt)", segments_sql("ring", 531, 483).replace("SELECT rx, ry, CAST(kase", ", seg AS (SELECT rx, ry, CAST(kase", 1) + ")") + "SELECT round(-sum(x0*y1-x1*y0)/2, 6) AS area FROM seg")
 def contour_area(spark: SparkSession, d: str) -> DataFrame:
     """Area within all contours less that of holes, in cells: by rings here, by Green's theorem over segments in SQL."""
-    rings = vector.contour_rings(i.counts(spark, d), i.GRID, 12)
+    rings = vector.contour_rings(i.counts(spark, d), i.GRID, 12, pad=True)
     signed = F.when(F.col("is_hole"), -geo.area("geom")).otherwise(geo.area("geom")) / (833.0 * 833.0)
     return rings.agg(F.round(F.sum(signed), 6).alias("area"))
 

@@ -28,12 +28,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.llm import texthash
-from geoloom.llm.tables import row_key, texts
+from geoloom.llm.tables import texts, wide_row_key
 from geoloom.operators.graph import connected_components
 from geoloom.plans.batches import groups
 from geoloom.plans.materialize import materialize
 
 BANDS, ROWS, BITS, FAN = 40, 3, 1024, 16
+#: Type of the key of a row.
+KEY = "struct<a:bigint,b:bigint>"
 
 
 class SignatureTree:
@@ -182,12 +184,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, chunk: in
     """(doc_id, n_shingles, component_id, r, component) for every row of ``docs`` (doc_id, text; other columns unused).
 
     component_id: the least doc_id among the documents reachable by links, itself included. component tells
-    components apart even where ids are null or repeat; it is null for texts without shingles. r is row_key(). Null or
+    components apart even where ids are null or repeat; it is null for texts without shingles. r is wide_row_key(). Null or
     wordless texts have no shingles and stand alone. Equal texts are linked (similarity 1). Rows that
     repeat a doc_id each give a row; a null doc_id stays null where its class has no other. An empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
-    features = materialize(docs.select(row_key().alias("r"), "doc_id", "text").mapInArrow(_features(k), "r long, doc_id long, n_shingles long, class_id long, bands array<long>"))
+    features = materialize(docs.select(wide_row_key().alias("r"), "doc_id", "text").mapInArrow(_features(k), f"r {KEY}, doc_id long, n_shingles long, class_id long, bands array<long>"))
     filled = features.where("n_shingles > 0")
     banded = filled.select("class_id", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high")).where("low < high")
@@ -199,7 +201,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, chunk: in
     # doc_id may be null or repeat, so a text is fetched by the key of its row
     holder = filled.groupBy("class_id").agg(F.min("r").alias("r"))
     wanted = blocks.join(sizes, "block").join(holder, "class_id").select("class_id", "block", "members", "r")
-    content = materialize(docs.select(row_key().alias("r"), "text").mapInArrow(_packed, "r long, packed binary").join(wanted, "r"))
+    content = materialize(docs.select(wide_row_key().alias("r"), "text").mapInArrow(_packed, f"r {KEY}, packed binary").join(wanted, "r"))
     chunks = F.ceil(F.col("members") / chunk).cast("int")
     dealt = content.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int"))
     pivot = (F.col("class_id") == F.col("block")) | (F.pmod(F.xxhash64("class_id", F.lit(7)), F.greatest(F.lit(1), F.expr("members div 8"))) == 0)
@@ -228,9 +230,9 @@ def one_of_each(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     Texts without shingles all stay, rows that repeat doc_id and text become one.
     """
     found = jaccard_components(docs, k, percent)
-    w = Window.partitionBy(F.coalesce("component", "r"), F.col("component").isNull()).orderBy("doc_id", "r")
+    w = Window.partitionBy("component", F.when(F.col("component").isNull(), F.col("r"))).orderBy("doc_id", "r")
     kept = found.withColumn("n", F.row_number().over(w)).where("n = 1").select(F.col("r").alias("__r"))
-    return docs.withColumn("__r", row_key()).join(kept, "__r").dropDuplicates(["__r"]).select(*docs.columns)
+    return docs.withColumn("__r", wide_row_key()).join(kept, "__r").dropDuplicates(["__r"]).select(*docs.columns)
 
 
 def _rest(dealt: DataFrame, labels: DataFrame, k: int, percent: int, chunk: int) -> DataFrame | None:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.tables import row_key
+from geoloom.llm.tables import wide_row_key
 from geoloom.plans.materialize import materialize
 
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -92,7 +92,7 @@ def base_places(docs: DataFrame) -> DataFrame:
     Words inside personal data are no terms.
     """
     text = F.coalesce("text", F.lit(""))
-    found = docs.select(row_key().alias("r"), F.xxhash64(text).alias("h"), "doc_id", text.alias("t")).select("r", "h", "doc_id", "t", *[c.alias(k) for k, c in _base(F.col("t")).items()])
+    found = docs.select(wide_row_key().alias("r"), F.xxhash64(text).alias("h"), "doc_id", text.alias("t")).select("r", "h", "doc_id", "t", *[c.alias(k) for k, c in _base(F.col("t")).items()])
 
     def values(kind: str) -> Column:
         return F.transform(kind, lambda p: _entity(kind, p["value"]))
@@ -154,7 +154,7 @@ def disclosing_terms(docs: DataFrame, base: DataFrame) -> DataFrame:
 
 def term_places(docs: DataFrame, terms: DataFrame) -> DataFrame:
     """(r, term places): where the terms stand in each text, as whole words."""
-    whole = docs.select(row_key().alias("r"), F.coalesce("text", F.lit("")).alias("t"))
+    whole = docs.select(wide_row_key().alias("r"), F.coalesce("text", F.lit("")).alias("t"))
     words = whole.select("r", F.explode(F.array_distinct(F.regexp_extract_all("t", F.lit(WORD), F.lit(0)))).alias("term"))
     held = words.join(F.broadcast(terms), "term") if terms.count() <= BROADCAST_TERMS else _of_hash(words, terms).join(terms, "term")
     held = held.groupBy("r").agg(F.collect_set(F.struct("term", "disclosure")).alias("held"))
@@ -244,7 +244,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
     stays null.
     """
     spans = find(docs).select("r", "spans").where(F.size("spans") > 0).dropDuplicates(["r"])
-    out = docs.withColumn("__r", row_key()).join(spans.select(F.col("r").alias("__r"), F.col("spans").alias("__spans")), "__r", "left")
+    out = docs.withColumn("__r", wide_row_key()).join(spans.select(F.col("r").alias("__r"), F.col("spans").alias("__spans")), "__r", "left")
     told = F.col("__spans").isNotNull() & F.col("text").isNotNull()
     out = out.withColumn("text", F.when(told, _masked(F.col("text"), F.col("__spans"))).otherwise(F.col("text")))
     for _ in range(2):

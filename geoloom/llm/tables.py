@@ -28,6 +28,12 @@ def row_key(id_col: str = "doc_id", text_col: str = "text"):
     return F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))
 
 
+def wide_row_key(id_col: str = "doc_id", text_col: str = "text"):
+    """128-bit key of a row, as two hashes from different states: rows are joined by it, so a chance meeting would mix them up."""
+    both = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
+    return F.struct(F.xxhash64(*both).alias("a"), F.xxhash64(F.lit(1), *both).alias("b"))
+
+
 def texts(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The UTF-8 bytes of a string or binary column; null counts as empty."""
     column = batch.column(batch.schema.get_field_index(name))

@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from geoloom.llm import jaccard_join
 
@@ -89,3 +90,11 @@ def test_links_through_a_null_doc_id(spark):
     assert jaccard_join.one_of_each(docs).count() == 1
     pair = spark.createDataFrame([(None, part(0), "en", "x"), (None, part(8), "en", "x")], SCHEMA)
     assert jaccard_join.one_of_each(pair).count() == 1
+
+
+@pytest.mark.parametrize("same", ["a", "b"])
+def test_rows_that_share_one_half_of_their_key_stay_apart(spark, monkeypatch, same):
+    whole = jaccard_join.wide_row_key
+    monkeypatch.setattr(jaccard_join, "wide_row_key", lambda: whole().withField(same, F.lit(0).cast("long")))
+    test_one_of_each(spark)
+    test_links_through_a_null_doc_id(spark)

@@ -4,7 +4,9 @@ import random
 import re
 from collections import Counter
 
+import pytest
 import regex
+from pyspark.sql import functions as F
 
 from geoloom.llm import pii_disclosure as pii
 
@@ -154,3 +156,12 @@ def test_disclosure_of_whole_documents_by_brute_force(spark):
         if share >= pii.GENERALISE:
             want[w] = max(share, want.get(w, 0))
     assert want and got.keys() == want.keys() and all(abs(got[w] - want[w]) < 1e-9 for w in want)
+
+
+@pytest.mark.parametrize("same", ["a", "b"])
+def test_rows_that_share_one_half_of_their_key_stay_apart(spark, monkeypatch, same):
+    whole = pii.wide_row_key
+    monkeypatch.setattr(pii, "wide_row_key", lambda: whole().withField(same, F.lit(0).cast("long")))
+    test_terms_far_from_the_entity(spark)
+    rows = [(1, "a@b.org", "", ""), (2, "nothing", "", ""), (3, "c@d.org", "", "")]
+    assert sorted((r["doc_id"], r["text"]) for r in pii.sanitise(spark.createDataFrame(rows, SCHEMA)).collect()) == [(1, "[EMAIL]"), (2, "nothing"), (3, "[EMAIL]")]

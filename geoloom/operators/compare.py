@@ -34,13 +34,20 @@ def id_overlap(cells: DataFrame, year: int) -> DataFrame:
 def id_main(cells: DataFrame) -> DataFrame:
     """Every pair of ids with its cells, the cells of either, what year 2 overlaps, and the shares in percent."""
     pairs = cells.groupBy("year2_id", "year1_id").agg(F.count("*").alias("cnt"))
-    y1 = id_lookup(cells, 1).select(F.col("year1_id").alias("k1"), F.col("cnt").alias("y1_count"))
-    y2 = id_lookup(cells, 2).select(F.col("year2_id").alias("k2"), F.col("cnt").alias("y2_count"))
-    o2 = id_overlap(cells, 2).select(F.col("year2_id").alias("k3"), F.col("overlaps").alias("y2_overlaps"))
-    joined = pairs.join(y2, F.col("year2_id") == F.col("k2"), "left").join(y1, F.col("year1_id") == F.col("k1"), "left").join(o2, F.col("year2_id") == F.col("k3"), "left")
+    # what concerns one year follows from the pairs, so the cells are grouped once
+    y1 = pairs.groupBy(F.col("year1_id").alias("k1")).agg(F.sum("cnt").alias("y1_count"))
+    y2 = pairs.groupBy(F.col("year2_id").alias("k2")).agg(F.sum("cnt").alias("y2_count"), F.count("year1_id").alias("y2_overlaps"))
+    joined = pairs.join(y2, F.col("year2_id") == F.col("k2"), "left").join(y1, F.col("year1_id") == F.col("k1"), "left")
     name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("NA"))
     share = lambda n: F.round(F.lit(100.0) * F.col("cnt") / F.col(n), 2)
     return joined.select(
         F.concat(name("year2_id"), F.lit("_"), name("year1_id")).alias("pair_key"), "cnt", "year2_id", "year1_id", "y2_count", "y1_count", "y2_overlaps",
         share("y2_count").alias("y2_ratio"), share("y1_count").alias("y1_ratio"),
     )
+
+
+def exports(cells: DataFrame) -> dict[str, DataFrame]:
+    """The tables of a comparison by the name of their file: cells and overlaps of each id of either year, and all pairs."""
+    out = {f"year{y}_lookup": id_lookup(cells, y).withColumnRenamed("cnt", "count") for y in (1, 2)}
+    out |= {f"year{y}_overlap": id_overlap(cells, y).withColumnRenamed("overlaps", f"y{y}_overlaps") for y in (1, 2)}
+    return out | {"main": id_main(cells)}

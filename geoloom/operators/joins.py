@@ -11,9 +11,13 @@ from __future__ import annotations
 import math
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from geoloom.functions import columns as geo
+from geoloom.functions.grid import GridSpec
+from geoloom.functions.kernel import geodesic_distance
 from geoloom.operators.graph import connected_components
 
 ENVELOPE = ["minx", "miny", "maxx", "maxy"]
@@ -101,3 +105,20 @@ def nearest(points: DataFrame, places: DataFrame, size: float, levels: int = 1,
         return found.groupBy("id").agg(F.min(F.struct("d2", "place_id")).alias("n")).select("id", "n.place_id", "n.d2", F.lit(1).alias("rank"))
     rank = F.row_number().over(Window.partitionBy("id").orderBy("d2", "place_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("id", "place_id", "d2", "rank")
+
+
+def nearest_on_earth(points: DataFrame, places: DataFrame, grid: GridSpec, size: float, k: int = 1) -> DataFrame:
+    """(id, place_id, metres, rank): the k nearest places (place_id, lon, lat) of each point (id, lon, lat), near in the equal-area plane around the grid's centre.
+
+    size: the finest buckets' side in metres. metres is the geodesic distance. Ties in the plane go to the least place_id.
+    """
+    lon0, lat0 = grid.origin_x + grid.cols * grid.pixel_width / 2, grid.origin_y + grid.rows * grid.pixel_height / 2
+    x, y = geo.laea("lon", "lat", lon0, lat0)
+
+    @F.arrow_udf("double")
+    def metres(a: pa.Array, b: pa.Array, c: pa.Array, d: pa.Array) -> pa.Array:
+        return pa.array([geodesic_distance(*q) for q in zip(*(v.to_pylist() for v in (a, b, c, d)), strict=True)], pa.float64())
+
+    found = nearest(points.select("id", x.alias("x"), y.alias("y")), places.select("place_id", x.alias("px"), y.alias("py")), size, k=k).drop("d2")
+    ends = found.join(points.select("id", "lon", "lat"), "id").join(places.select("place_id", F.col("lon").alias("plon"), F.col("lat").alias("plat")), "place_id")
+    return ends.select("id", "place_id", metres("lon", "lat", "plon", "plat").alias("metres"), "rank")

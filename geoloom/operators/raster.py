@@ -132,6 +132,24 @@ def row_gaps(cells: DataFrame, grid: GridSpec) -> DataFrame:
     return gaps.withColumn("run", F.col("ry") * grid.cols + F.col("x0"))
 
 
+def _touching(gaps: DataFrame) -> DataFrame:
+    """(src, dst): runs of neighbouring rows that touch, across corners too, by sorting instead of comparing.
+
+    A run looks in the row above and in the row below for the last run that starts no later than one cell
+    behind its own end. Runs of a row have a set cell between them, so of two that touch at least one is
+    found by the other: were neither, each would end behind the other's end.
+    """
+    roles = [(0, False, False), (0, True, False), (1, False, True), (-1, True, True)]
+    role = F.explode(F.array(*[F.struct(F.lit(s).alias("step"), F.lit(u).alias("up"), F.lit(k).alias("seeks")) for s, u, k in roles])).alias("role")
+    each = gaps.select("run", "ry", "x0", "x1", role).select(
+        "run", "x0", "x1", (F.col("ry") + F.col("role.step")).alias("row"), "role.up", "role.seeks", F.when(F.col("role.seeks"), F.col("x1") + 1).otherwise(F.col("x0")).alias("at")
+    )
+    so_far = Window.partitionBy("row", "up").orderBy("at", "seeks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = F.last(F.when(~F.col("seeks"), F.struct("run", "x1")), ignorenulls=True).over(so_far)
+    found = each.withColumn("met", last).where(F.col("seeks") & (F.col("met.x1") >= F.col("x0") - 1))
+    return found.select(F.col("run").alias("src"), F.col("met.run").alias("dst"))
+
+
 def flood_fill(cells: DataFrame, grid: GridSpec) -> DataFrame:
     """Cells that a flood from the top row, through empty cells and across corners, doesn't reach.
 
@@ -139,10 +157,9 @@ def flood_fill(cells: DataFrame, grid: GridSpec) -> DataFrame:
     cells and rows.
     """
     gaps = row_gaps(cells, grid)
-    below = gaps.select(F.col("run").alias("dst"), (F.col("ry") - 1).alias("ry"), F.col("x0").alias("u0"), F.col("x1").alias("u1"))
-    touch = gaps.join(below, "ry").where("u0 <= x1 + 1 and x0 <= u1 + 1")
+    touch = _touching(gaps)
     tops = gaps.where("ry = 0").select(F.lit(-1).cast("long").alias("src"), F.col("run").alias("dst"))  # all of the top row is one
-    edges = touch.select(F.col("run").alias("src"), "dst").union(tops).union(gaps.select(F.col("run").alias("src"), F.col("run").alias("dst")))
+    edges = touch.union(tops).union(gaps.select(F.col("run").alias("src"), F.col("run").alias("dst")))
     reached = connected_components(edges, finish=200_000).where("component = -1").select(F.col("node").alias("run"))
     enclosed = gaps.join(reached, "run", "left_anti").select(F.explode(F.sequence("x0", "x1")).alias("rx"), "ry")
     return cells.select("rx", "ry").distinct().where(grid.inside("rx", "ry")).union(enclosed)

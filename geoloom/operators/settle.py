@@ -108,6 +108,18 @@ def centre_check(points: DataFrame, slices: DataFrame, grid: GridSpec) -> DataFr
     return s.where(off).select("id", *CELL, corner.alias("corner"))
 
 
+def centre_records(checked: DataFrame, settlements: DataFrame, grid: GridSpec) -> DataFrame:
+    """What centre_check found as records: settlement_fid, settlement_level, raster_x, raster_y, long and lat of the centre, grid_index (row by row), corner.
+
+    settlements: id, level. An id without a level keeps a null.
+    """
+    placed = checked.join(settlements.select("id", "level"), "id", "left")
+    return placed.select(
+        F.col("id").alias("settlement_fid"), F.col("level").alias("settlement_level"), F.col("rx").alias("raster_x"), F.col("ry").alias("raster_y"),
+        grid.centre_x("rx").alias("long"), grid.centre_y("ry").alias("lat"), (F.col("ry") * grid.cols + F.col("rx")).alias("grid_index"), "corner",
+    )
+
+
 def corner_shape(grid: GridSpec, radius: float = 0.8, quad_segs: int = 4) -> Column:
     """The quarter disc at a cell's corner that points into the cell: it covers the centre of any square cell."""
     first_angle = {0: 180, 1: 90, 2: 0, 3: 270}

@@ -246,17 +246,25 @@ def fill_centres(groups: DataFrame, grid: GridSpec) -> DataFrame:
     return groups.withColumn("geom", geometry_udf(lambda g: kernel.fill_centre(g, grid))("geom"))
 
 
-def rasterize(layer: DataFrame, grid: GridSpec, key: str = "orig_fid") -> DataFrame:
-    """(id, rx, ry) of the cells whose centre is inside."""
+def rasterize(layer: DataFrame, grid: GridSpec, key: str = "orig_fid", all_touched: bool = False) -> DataFrame:
+    """(id, rx, ry) of the cells whose centre is inside; with all_touched, of all that share area with the shape."""
     kind = pa.list_(pa.struct([("rx", pa.int64()), ("ry", pa.int64())]))
+    inside = kernel.touched if all_touched else kernel.scan
 
     @F.arrow_udf("array<struct<rx:long,ry:long>>")
     def cells(geoms: pa.Array) -> pa.Array:
-        return pa.array([[{"rx": x, "ry": y} for x, y in kernel.scan(read(g), grid)] for g in geoms.to_pylist()], kind)
+        return pa.array([[{"rx": x, "ry": y} for x, y in inside(read(g), grid)] for g in geoms.to_pylist()], kind)
 
     return layer.select(F.col(key).alias("id"), F.explode(cells("geom")).alias("c")).select("id", "c.rx", "c.ry")
 
 
+def burn_field(layer: DataFrame, grid: GridSpec, field: str, order: str = "fid", all_touched: bool = False) -> DataFrame:
+    """(rx, ry, v): the field of the feature that covers a cell, of several the one last in ``order``; equal places go to the greatest value."""
+    named = layer.select(F.struct(F.col(order).alias("at"), F.col(field).alias("v")).alias("of"), "geom")
+    last = rasterize(named, grid, "of", all_touched).groupBy("rx", "ry").agg(F.max("id").alias("of"))
+    return last.select("rx", "ry", "of.v")
+
+
 def grid_slice(layer: DataFrame, grid: GridSpec, key: str = "orig_fid") -> DataFrame:
     """(id, rx, ry, geom): the layer cut by all grid lines."""
     named = with_envelope(layer.select(F.col(key).alias("id"), "geom"))

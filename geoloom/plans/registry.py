@@ -9,6 +9,7 @@ from geoloom.functions import columns as geo
 from geoloom.functions.grid import GridSpec
 from geoloom.operators import compare, joins, raster, settle, vector
 from geoloom.plans import inputs as i
+from geoloom.plans.materialize import materialize
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -241,6 +242,11 @@ def _squares(spark: SparkSession, d: str) -> DataFrame:
     return compare.squares(_shown(spark, d, 1), _shown(spark, d, 2), _missing(spark, d, 1), _missing(spark, d, 2))
 
 
+def compared(spark: SparkSession, d: str) -> DataFrame:
+    """The squares, written once for all that is derived from them."""
+    return materialize(_squares(spark, d))
+
+
 @query(W(*SQ) + "SELECT * FROM sq")
 def squares(spark: SparkSession, d: str) -> DataFrame:
     return _squares(spark, d)

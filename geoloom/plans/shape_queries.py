@@ -7,15 +7,16 @@ The polygons are right triangles with legs of one width or six, the right angle
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.functions import columns as geo
-from geoloom.operators import joins, raster, settle, vector
+from geoloom.operators import compare, joins, raster, settle, vector
 from geoloom.plans import inputs as i
 from geoloom.plans.materialize import shared_dir
-from geoloom.plans.registry import W, Z1C, ZONAL, query, segments_sql, zonal_stats
+from geoloom.plans.registry import CORNER_COUNTS, LEVELS, SQ, W, Z1C, ZONAL, centre_check, compared, levels, query, segments_sql, zonal_stats
 from geoloom.sources import layers
 
 SQL_TRI = "tri AS (SELECT fid, CAST(minx AS DOUBLE) AS x0, miny+0.25 AS y0, CAST(6*w AS DOUBLE) AS s FROM fp)"
@@ -49,6 +50,18 @@ def rasterize_polygons(spark: SparkSession, d: str) -> DataFrame:
     return vector.rasterize(triangles(spark, d), i.GRID, "fid")
 
 
+@query(W(i.SQL_FP, SQL_TRI, SQL_CUT) + "SELECT fid AS id, rx, ry FROM cut WHERE area>0 AND rx BETWEEN 0 AND 528 AND ry BETWEEN 0 AND 480")
+def rasterize_touched(spark: SparkSession, d: str) -> DataFrame:
+    return vector.rasterize(triangles(spark, d), i.GRID, "fid", all_touched=True)
+
+
+@query(W(i.SQL_FP, SQL_TRI, SQL_CUT) + f"""SELECT rx, ry, arg_max(CAST(s AS BIGINT), fid) AS v FROM cut WHERE rx BETWEEN 0 AND 528 AND ry BETWEEN 0 AND 480 AND {_IN.format('(833*rx+416.5)', '(400000-833*ry-416.5)')} GROUP BY rx, ry""")
+def burn_field(spark: SparkSession, d: str) -> DataFrame:
+    """The width of the last triangle over each cell's centre."""
+    wide = triangles(spark, d).withColumn("width", (F.col("maxx") - F.col("minx")).cast("long"))
+    return vector.burn_field(wide, i.GRID, "width", "fid")
+
+
 @query(W(i.SQL_FP, SQL_TRI, SQL_CUT) + f"""SELECT DISTINCT cut.fid AS id, cut.rx, cut.ry FROM cut JOIN fp ON fp.rx=cut.rx AND fp.ry=cut.ry
   WHERE area>0 AND {_IN.format('(fp.minx+fp.w/2.0+0.0625)', '(fp.miny+fp.h/2.0-0.125)')} AND NOT {_IN.format('(833*cut.rx+416.5)', '(400000-833*cut.ry-416.5)')}""")
 def centre_check_polygons(spark: SparkSession, d: str) -> DataFrame:
@@ -142,6 +155,27 @@ def buffer_area(spark: SparkSession, d: str) -> DataFrame:
 
 
 # neighbours and windows ----------------------------------------------------------------------------
+# degrees: the plane's micro-degrees, ten times as wide; WGS 84's squared eccentricity; authalic latitudes in SQL
+EARTH = replace(i.GRID, origin_x=3.0, origin_y=10.0, pixel_width=833e-5, pixel_height=-833e-5)
+_E2 = 0.0066943799901413165
+_Q = f"((1-{_E2})*(sin(radians({{0}}))/(1-{_E2}*pow(sin(radians({{0}})),2))+atanh(sqrt({_E2})*sin(radians({{0}})))/sqrt({_E2})))"
+_BETA = f"asin(least(1, {_Q}/{_Q.format('90')}))"
+_MID = (EARTH.origin_x + EARTH.cols * EARTH.pixel_width / 2, EARTH.origin_y + EARTH.rows * EARTH.pixel_height / 2)
+_LAEA = f"""SELECT *, 6378137*sqrt({_Q.format('90')}/2)*sqrt(2/(1+sin(b0)*sin(b)+cos(b0)*cos(b)*cos(l)))*dd*cos(b)*sin(l) AS x, 6378137*sqrt({_Q.format('90')}/2)*sqrt(2/(1+sin(b0)*sin(b)+cos(b0)*cos(b)*cos(l)))/dd*(cos(b0)*sin(b)-sin(b0)*cos(b)*cos(l)) AS y FROM (
+  SELECT *, cos(radians({_MID[1]}))/sqrt(1-{_E2}*pow(sin(radians({_MID[1]})),2))/(sqrt({_Q.format('90')}/2)*cos(b0)) AS dd FROM (SELECT *, {_BETA.format('lat')} AS b, {_BETA.format(_MID[1])} AS b0, radians(lon-{_MID[0]}) AS l FROM {{0}}))"""
+
+
+@query(W(i.SQL_FP, i.SQL_CNT, i.SQL_FAC, "pt AS (SELECT rx, ry, 3.0::DOUBLE+833e-5::DOUBLE*(rx+0.5::DOUBLE) AS lon, 10.0::DOUBLE-833e-5::DOUBLE*(ry+0.5::DOUBLE) AS lat FROM cnt)", "pl AS (SELECT place_id, 3+px/1e5::DOUBLE AS lon, 6+py/1e5::DOUBLE AS lat FROM fac)", f"a AS ({_LAEA.format('pt')})", f"b AS ({_LAEA.format('pl')})")
+       + "SELECT rx, ry, arg_min(place_id, pow(a.x-b.x,2)+pow(a.y-b.y,2)) AS place_id, true AS as_far FROM a, b GROUP BY rx, ry")
+def nearest_on_earth(spark: SparkSession, d: str) -> DataFrame:
+    """as_far: the geodesic distance is within 0.6 % of that on a sphere, what flattening can make of it."""
+    p = i.counts(spark, d).select((F.col("rx") + F.col("ry") * 1_000_000).alias("id"), "rx", "ry", EARTH.centre_x("rx").alias("lon"), EARTH.centre_y("ry").alias("lat"))
+    places = i.facilities(spark, d).select("place_id", (F.lit(3.0) + F.col("px") / 1e5).alias("lon"), (F.lit(6.0) + F.col("py") / 1e5).alias("lat"))
+    found = joins.nearest_on_earth(p, places, EARTH, 100_000).join(p, "id").join(places.select("place_id", F.col("lon").alias("a"), F.col("lat").alias("b")), "place_id")
+    sphere = geo.haversine("lon", "lat", "a", "b")
+    return found.select("rx", "ry", "place_id", (F.abs(F.col("metres") - sphere) <= 0.006 * sphere).alias("as_far"))
+
+
 @query(W(i.SQL_FP, i.SQL_CNT, i.SQL_FAC) + """SELECT rx, ry, place_id, CAST(rank AS INTEGER) AS rank FROM (SELECT rx, ry, place_id, row_number() OVER (PARTITION BY rx, ry ORDER BY (1666*rx+833-2*px)*(1666*rx+833-2*px)+(800000-1666*ry-833-2*py)*(800000-1666*ry-833-2*py), place_id) AS rank FROM cnt, fac) WHERE rank<=5""")
 def nearest_five(spark: SparkSession, d: str) -> DataFrame:
     p = i.counts(spark, d).select((F.col("rx") * 529 + F.col("ry") * 1_000_000).alias("id"), "rx", "ry", (F.col("rx") * 1666 + 833).alias("x"), (F.lit(800_000) - F.col("ry") * 1666 - 833).alias("y"))
@@ -229,3 +263,24 @@ def codecs(spark: SparkSession, d: str) -> DataFrame:
     for b in back:
         same = same & (b == F.col("geom"))
     return t.select("fid", same.alias("same"))
+
+
+@query(f"""SELECT c.id AS settlement_fid, level AS settlement_level, c.rx AS raster_x, c.ry AS raster_y, 833*c.rx+416.5::DOUBLE AS long, 400000-833*c.ry-416.5::DOUBLE AS lat, c.ry*529+c.rx AS grid_index, corner
+  FROM ({CORNER_COUNTS}) c LEFT JOIN ({W(i.SQL_FP, i.SQL_Z1, Z1C, i.SQL_CNT, ZONAL, LEVELS)} SELECT id, level FROM lv) l ON c.id=l.id""")
+def centre_records(spark: SparkSession, d: str) -> DataFrame:
+    return settle.centre_records(centre_check(spark, d), levels(spark, d), i.GRID)
+
+
+@query(W(*SQ) + """SELECT 'year1_lookup' AS name, count(*) AS n, CAST(sum(c) AS BIGINT) AS total FROM (SELECT count(*) AS c FROM sq GROUP BY year1_id) UNION ALL SELECT 'year2_lookup', count(*), CAST(sum(c) AS BIGINT) FROM (SELECT count(*) AS c FROM sq GROUP BY year2_id)
+  UNION ALL SELECT 'year1_overlap', count(*), CAST(sum(c) AS BIGINT) FROM (SELECT count(DISTINCT year2_id) AS c FROM sq GROUP BY year1_id) UNION ALL SELECT 'year2_overlap', count(*), CAST(sum(c) AS BIGINT) FROM (SELECT count(DISTINCT year1_id) AS c FROM sq GROUP BY year2_id)
+  UNION ALL SELECT 'main', count(*), CAST(sum(c) AS BIGINT) FROM (SELECT count(*) AS c FROM sq GROUP BY year1_id, year2_id)""")
+def comparison_exports(spark: SparkSession, d: str) -> DataFrame:
+    """All tables of a comparison written as CSV and read back: rows and the sum of their counts."""
+    folder = _folder(spark)
+    layers.write_exports(compare.exports(compared(spark, d)), folder)
+    counted = {"year1_lookup": "count", "year2_lookup": "count", "year1_overlap": "y1_overlaps", "year2_overlap": "y2_overlaps", "main": "cnt"}
+    out = None
+    for name, c in counted.items():
+        one = spark.read.option("header", True).csv(f"{folder}/{name}.csv").agg(F.lit(name).alias("name"), F.count("*").alias("n"), F.sum(F.col(c).cast("long")).alias("total"))
+        out = one if out is None else out.union(one)
+    return out

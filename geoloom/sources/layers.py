@@ -173,6 +173,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
+def write_exports(tables: dict[str, DataFrame], folder: str) -> None:
+    """Each table as CSV with a header under its name in the folder."""
+    for name, df in tables.items():
+        write_csv(df, f"{folder}/{name}.csv")
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "overwrite", batch: int = 10_000, **properties: str) -> None:
     """Rows of a frame into a database table, in batches from every partition; geometries go as WKB."""
     from pyspark.sql.types import ArrayType

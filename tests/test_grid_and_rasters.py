@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 
 from geoloom.functions.grid import GridSpec, index_width, is_nodata, spans
@@ -94,3 +95,13 @@ def test_resampling_keeps_mass_and_equals_overlaps(spark, dx, dy, fx, fy):
                     want[tx, ty] = want.get((tx, ty), 0) + v * share
     assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in got)
     assert sum(got.values()) == pytest.approx(sum(data.values()))
+
+
+def test_flood_fill_links_all_runs_that_touch(spark):
+    rng = np.random.default_rng(8)
+    set_cells = [(int(x), int(y)) for y in range(12) for x in range(12) if rng.random() < 0.45]
+    grid = GridSpec(0, 0, 1, -1, 12, 12)
+    gaps = raster.row_gaps(spark.createDataFrame(set_cells, "rx long, ry long"), grid)
+    runs = [(g["run"], g["ry"], g["x0"], g["x1"]) for g in gaps.collect()]
+    want = {(a[0], b[0]) for a in runs for b in runs if b[1] == a[1] + 1 and b[2] <= a[3] + 1 and a[2] <= b[3] + 1}
+    assert {(min(r), max(r)) for r in raster._touching(gaps).collect()} == want

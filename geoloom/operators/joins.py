@@ -9,8 +9,9 @@ keys, which adaptive execution splits.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,9 +19,13 @@ from pyspark.sql import functions as F
 from geoloom.functions import columns as geo
 from geoloom.functions.grid import GridSpec
 from geoloom.functions.kernel import geodesic_distance
+from geoloom.functions.pairs import Shapes
+from geoloom.functions.pairs import intersects as shapes_meet
 from geoloom.operators.graph import connected_components
+from geoloom.plans.batches import by_block
 
 ENVELOPE = ["minx", "miny", "maxx", "maxy"]
+CROWD = 4096  # shapes of one side that are compared in one block; fuller buckets are dealt into several
 
 
 def _bucketed(shapes: DataFrame, size: float, prefix: str, grow: float = 0) -> DataFrame:
@@ -53,6 +58,131 @@ def spatial_join(left: DataFrame, right: DataFrame, size: float, within: float =
     return pairs.where(exact()) if exact else pairs
 
 
+def _blocks(left: DataFrame, right: DataFrame | None, size: float, within: float, crowd: int) -> tuple[DataFrame, list[str]]:
+    """Both sides (without right: one, against itself) by bucket and block, and the columns that name a block.
+
+    A bucket with more than ``crowd`` shapes of a side is dealt into blocks, each pair of them in one.
+    """
+    sides = [left] if right is None else [left, right]
+    listed = None
+    for side, shapes in enumerate(sides):
+        geom = ["geom"] if "geom" in shapes.columns else []
+        named = shapes.select(F.col("id").cast("long"), *[F.col(c).cast("double").alias(c) for c in ENVELOPE], *geom).where("id is not null")
+        one = _bucketed(named.withColumn("side", F.lit(side)), size, "", 0 if side else within)
+        listed = one if listed is None else listed.union(one)
+    full = listed.groupBy("bx", "by", "side").agg(F.count("*").alias("n")).where(F.col("n") > crowd)
+    parts = lambda s: F.coalesce(F.max(F.when(F.col("side") == s, F.ceil(F.col("n") / crowd).cast("int"))), F.lit(1)).alias(f"parts{s}")
+    dealt = listed.join(full.groupBy("bx", "by").agg(parts(0), parts(1)), ["bx", "by"], "left")
+    number = lambda s: F.pmod(F.xxhash64("id"), F.coalesce(F.col(f"parts{s}"), F.lit(1))).cast("int")
+    others = lambda s: F.sequence(F.lit(0), F.coalesce(F.col(f"parts{s}"), F.lit(1)) - 1)
+    if right is None:  # the block of parts i <= j, once; both sides of it are told apart by their part
+        own = number(0)
+        dealt = dealt.withColumn("part", own).withColumn("other", F.explode(others(0)))
+        dealt = dealt.withColumns({"i": F.least("part", "other"), "j": F.greatest("part", "other")}).drop("other")
+    else:
+        dealt = dealt.withColumn("other", F.explode(F.when(F.col("side") == 0, others(1)).otherwise(others(0)))).withColumn("part", F.lit(0))
+        dealt = dealt.withColumns({"i": F.when(F.col("side") == 0, number(0)).otherwise(F.col("other")), "j": F.when(F.col("side") == 0, F.col("other")).otherwise(number(1))}).drop("other")
+    return dealt.drop("parts0", "parts1"), ["bx", "by", "i", "j"]
+
+
+def _meetings(key: tuple, rows: pa.Table, same: bool, size: float, within: float, exact: Callable | None) -> Iterator[tuple]:
+    """(shapes, ids, left positions, right positions) of the pairs of a block that meet in it, some at a time."""
+    ids, side, part = (rows.column(c).to_numpy() for c in ("id", "side", "part"))
+    box = [rows.column(c).to_numpy() for c in ENVELOPE]
+    shapes = Shapes(rows.column("geom")) if "geom" in rows.column_names else None
+    bx, by, i, j = key
+    if same:
+        order = np.argsort(ids, kind="stable")
+        lefts = rights = order
+    else:
+        lefts, rights = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if not len(lefts) or not len(rights):
+        return
+    r = [v[rights] for v in box]
+    step = max(1, 1_000_000 // len(rights))
+    for start in range(0, len(lefts), step):
+        at = lefts[start : start + step]
+        past = start if same else 0  # the lesser id is on the left
+        minx, miny, maxx, maxy = (v[at][:, None] for v in box)
+        near = (r[0][past:] <= maxx + within) & (minx <= r[2][past:] + within) & (r[1][past:] <= maxy + within) & (miny <= r[3][past:] + within)
+        a, b = np.nonzero(near)
+        a, b = at[a], rights[past + b]
+        here = (np.floor(np.maximum(box[0][a] - within, box[0][b]) / size) == bx) & (np.floor(np.maximum(box[1][a] - within, box[1][b]) / size) == by)
+        if same:
+            here &= ids[a] < ids[b]
+            if i != j:
+                here &= part[a] != part[b]
+        a, b = a[here], b[here]
+        if exact is not None:
+            met = exact(shapes, shapes, a, b)
+            a, b = a[met], b[met]
+        if len(a):
+            yield shapes, ids, a, b
+
+
+def block_pairs(left: DataFrame, right: DataFrame | None, size: float, within: float = 0, exact: Callable | None = shapes_meet, measure: Callable | None = None, schema: str = "", crowd: int = CROWD) -> DataFrame:
+    """(l_id, r_id, measures): pairs of shapes (id, envelope, geom) that meet, found block by block in arrays.
+
+    Without right: pairs within left, l_id < r_id. exact(shapes, shapes, i, j) tests pairs of positions,
+    measure(shapes, shapes, i, j) gives further columns by name, of which schema holds the types (", a double").
+    """
+    dealt, keys = _blocks(left, right, size, within, crowd)
+    same = right is None
+
+    def run(key: tuple, rows: pa.Table) -> Iterator[list]:
+        for shapes, ids, a, b in _meetings(key, rows, same, size, within, exact):
+            for k in range(0, len(a), 200_000):
+                i, j = a[k : k + 200_000], b[k : k + 200_000]
+                yield [ids[i], ids[j], *(measure(shapes, shapes, i, j).values() if measure else ())]
+
+    return by_block(dealt, keys, run, "l_id long, r_id long" + schema)
+
+
+def least_met(left: DataFrame, right: DataFrame, size: float, exact: Callable | None = shapes_meet, crowd: int = CROWD) -> DataFrame:
+    """(id, least): the least id on the right that each shape on the left meets."""
+    dealt, keys = _blocks(left, right, size, 0, crowd)
+
+    def run(key: tuple, rows: pa.Table) -> Iterator[list]:
+        least = None
+        for _, ids, a, b in _meetings(key, rows, False, size, 0, exact):
+            if least is None:
+                least, met = np.full(len(ids), np.iinfo(np.int64).max), np.zeros(len(ids), bool)
+            np.minimum.at(least, a, ids[b])
+            met[a] = True
+        if least is not None:
+            yield [ids[met], least[met]]
+
+    return by_block(dealt, keys, run, "id long, least long").groupBy("id").agg(F.min("least").alias("least"))
+
+
+def _linked(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Roots (least positions) once the pairs (a, b) are linked too."""
+    while True:
+        u, v = root[a], root[b]
+        apart = u != v
+        if not apart.any():
+            return root
+        a, b, u, v = a[apart], b[apart], u[apart], v[apart]
+        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def links(shapes: DataFrame, size: float, within: float = 0, exact: Callable | None = None, crowd: int = CROWD) -> DataFrame:
+    """(a, b): links that hold together what meets, fewer than shapes in each block, instead of all pairs."""
+    dealt, keys = _blocks(shapes, None, size, within, crowd)
+
+    def run(key: tuple, rows: pa.Table) -> Iterator[list]:
+        root = np.arange(rows.num_rows)
+        for _, ids, a, b in _meetings(key, rows, True, size, within, exact):
+            root = _linked(root, a, b)
+        tied = np.flatnonzero(root != np.arange(len(root)))
+        if len(tied):
+            yield [ids[root[tied]], ids[tied]]
+
+    return by_block(dealt, keys, run, "a long, b long")
+
+
 def proximity_pairs(shapes: DataFrame, within: float, size: float, id_col: str = "fid") -> DataFrame:
     """(a, b), a < b: shapes whose envelopes are at most ``within`` apart on both axes, ends included."""
     only = shapes.select(F.col(id_col).alias("id"), *ENVELOPE)
@@ -61,7 +191,7 @@ def proximity_pairs(shapes: DataFrame, within: float, size: float, id_col: str =
 
 def group_near(shapes: DataFrame, within: float, size: float, id_col: str = "fid") -> DataFrame:
     """(id, group_id): shapes that hang together by proximity; the group is named by its least id."""
-    pairs = proximity_pairs(shapes, within, size, id_col)
+    pairs = links(shapes.select(F.col(id_col).alias("id"), *ENVELOPE), size, within)
     alone = shapes.select(F.col(id_col).alias("a"), F.col(id_col).alias("b"))
     return connected_components(pairs.union(alone), "a", "b", finish=200_000).select(F.col("node").alias("id"), F.col("component").alias("group_id"))
 

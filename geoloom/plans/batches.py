@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -48,3 +49,53 @@ def by_group(df: DataFrame, keys: list[str], f: Callable[[tuple, pa.Table], list
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def by_block(df: DataFrame, keys: list[str], f: Callable[[tuple, pa.Table], Iterator[list]], schema: str) -> DataFrame:
+    """f(key, rows) -> columns (arrays of one length), any number of times, for each run of equal whole-number keys.
+
+    The number of partitions is that of the session, and two for each core at least: the rows are few beside
+    the work they make, so they are not put together by size.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+    spark = df.sparkSession
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list] = []
+        for key, rows in _runs(batches, keys):
+            for columns in f(key, rows):
+                held.append(columns)
+                if sum(len(c[0]) for c in held) >= 50_000 or len(held) >= 1000:
+                    yield batch(held)
+                    held = []
+        if held:
+            yield batch(held)
+
+    def batch(held: list[list]) -> pa.RecordBatch:
+        whole = [np.concatenate(c) if isinstance(c[0], np.ndarray) else [x for part in c for x in part] for c in zip(*held, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(c, field.type) for c, field in zip(whole, arrow, strict=True)], schema=arrow)
+
+    return df.repartition(width, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """As groups(), for keys that are whole numbers."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = np.stack([batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in keys], 1)
+        cuts = [0, *(np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1).tolist(), len(k)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            key = tuple(k[a].tolist())
+            if held and key != last:
+                yield last, pa.Table.from_batches(held).combine_chunks()
+                held = []
+            last = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield last, pa.Table.from_batches(held).combine_chunks()

@@ -73,8 +73,8 @@ def centre_check_polygons(spark: SparkSession, d: str) -> DataFrame:
   WHERE greatest(f.miny, t.y0)-t.y0<=least(f.maxx, t.x0+t.s)-t.x0 GROUP BY f.fid) m USING (fid)""")
 def bldg_polygon_join(spark: SparkSession, d: str) -> DataFrame:
     boxes = i.footprints(spark, d).select("fid", *joins.ENVELOPE, geo.box("minx", "miny", "maxx", "maxy").alias("geom"))
-    met = joins.spatial_join(boxes, triangles(spark, d, 1), SIZE).where(vector.intersects("l_geom", "r_geom"))
-    return boxes.select("fid").join(met.groupBy(F.col("l_fid").alias("fid")).agg(F.min("r_fid").alias("set_orig_fid")), "fid", "left")
+    met = joins.least_met(boxes.withColumnRenamed("fid", "id"), triangles(spark, d, 1).withColumnRenamed("fid", "id"), SIZE)
+    return boxes.select("fid").join(met.select(F.col("id").alias("fid"), F.col("least").alias("set_orig_fid")), "fid", "left")
 
 
 def _met(spark: SparkSession, d: str) -> DataFrame:

@@ -82,9 +82,14 @@ def _met(spark: SparkSession, d: str) -> DataFrame:
     return joins.spatial_join(t, t, SIZE).where("l_fid < r_fid").where(vector.intersects("l_geom", "r_geom"))
 
 
+def _pairs(spark: SparkSession, d: str, measure=None, schema: str = "") -> DataFrame:
+    t = triangles(spark, d, 1).withColumnRenamed("fid", "id")
+    return joins.block_pairs(t, None, SIZE, measure=measure, schema=schema).withColumnsRenamed({"l_id": "a", "r_id": "b"})
+
+
 @query(W(i.SQL_FP, SQL_SMALL, SQL_PAIRS) + "SELECT a, b FROM pr")
 def intersects_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return _met(spark, d).select(F.col("l_fid").alias("a"), F.col("r_fid").alias("b"))
+    return _pairs(spark, d)
 
 
 _COVER = "({0}x<={1} AND {1}+{2}<={0}x+{3} AND {0}y<={4} AND {4}-{0}y<={1}-{0}x)"

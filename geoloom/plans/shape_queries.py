@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.functions import columns as geo
+from geoloom.functions import pairs
 from geoloom.operators import compare, joins, raster, settle, vector
 from geoloom.plans import inputs as i
 from geoloom.plans.materialize import shared_dir
@@ -98,11 +99,7 @@ _COVER = "({0}x<={1} AND {1}+{2}<={0}x+{3} AND {0}y<={4} AND {4}-{0}y<={1}-{0}x)
 @query(W(i.SQL_FP, SQL_SMALL, SQL_PAIRS, """cv AS (SELECT *, bx>=ax AND bx+sb<=ax+sa AND byy>=ay AND byy-ay<=bx-ax AS ab, ax>=bx AND ax+sa<=bx+sb AND ay>=byy AND ay-byy<=ax-bx AS ba, greatest(ay,byy)<least(ay-ax,byy-bx)+least(ax+sa,bx+sb) AS inner_meet,
   bx>ax AND bx+sb<ax+sa AND byy>ay AND byy-ay<bx-ax AS deep FROM pr)""") + "SELECT a, b, ab AS covers, ba AS covered_by, NOT inner_meet AS touches, inner_meet AND NOT ab AND NOT ba AS overlaps, deep AS contains_properly, false AS crosses FROM cv")
 def predicates(spark: SparkSession, d: str) -> DataFrame:
-    g = ("l_geom", "r_geom")
-    return _met(spark, d).select(
-        F.col("l_fid").alias("a"), F.col("r_fid").alias("b"), vector.covers(*g).alias("covers"), vector.covered_by(*g).alias("covered_by"), vector.touches(*g).alias("touches"),
-        vector.overlaps(*g).alias("overlaps"), vector.contains_properly(*g).alias("contains_properly"), vector.crosses(*g).alias("crosses"),
-    )
+    return _pairs(spark, d, pairs.predicates, "".join(f", {p} boolean" for p in pairs.PREDICATES))
 
 
 @query(W(i.SQL_FP, SQL_SMALL, SQL_PAIRS, "ar AS (SELECT *, pow(least(ay-ax,byy-bx)+least(ax+sa,bx+sb)-greatest(ay,byy), 2)/2 AS both_area FROM pr)") + "SELECT a, b, round(both_area, 1) AS both_area, round(sa*sa/2-both_area, 1) AS left_only FROM ar")

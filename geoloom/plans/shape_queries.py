@@ -78,19 +78,14 @@ def bldg_polygon_join(spark: SparkSession, d: str) -> DataFrame:
     return boxes.select("fid").join(met.select(F.col("id").alias("fid"), F.col("least").alias("set_orig_fid")), "fid", "left")
 
 
-def _met(spark: SparkSession, d: str) -> DataFrame:
-    t = triangles(spark, d, 1)
-    return joins.spatial_join(t, t, SIZE).where("l_fid < r_fid").where(vector.intersects("l_geom", "r_geom"))
-
-
-def _pairs(spark: SparkSession, d: str, measure=None, schema: str = "") -> DataFrame:
+def _met(spark: SparkSession, d: str, measure=None, schema: str = "") -> DataFrame:
     t = triangles(spark, d, 1).withColumnRenamed("fid", "id")
     return joins.block_pairs(t, None, SIZE, measure=measure, schema=schema).withColumnsRenamed({"l_id": "a", "r_id": "b"})
 
 
 @query(W(i.SQL_FP, SQL_SMALL, SQL_PAIRS) + "SELECT a, b FROM pr")
 def intersects_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return _pairs(spark, d)
+    return _met(spark, d)
 
 
 _COVER = "({0}x<={1} AND {1}+{2}<={0}x+{3} AND {0}y<={4} AND {4}-{0}y<={1}-{0}x)"
@@ -99,15 +94,14 @@ _COVER = "({0}x<={1} AND {1}+{2}<={0}x+{3} AND {0}y<={4} AND {4}-{0}y<={1}-{0}x)
 @query(W(i.SQL_FP, SQL_SMALL, SQL_PAIRS, """cv AS (SELECT *, bx>=ax AND bx+sb<=ax+sa AND byy>=ay AND byy-ay<=bx-ax AS ab, ax>=bx AND ax+sa<=bx+sb AND ay>=byy AND ay-byy<=ax-bx AS ba, greatest(ay,byy)<least(ay-ax,byy-bx)+least(ax+sa,bx+sb) AS inner_meet,
   bx>ax AND bx+sb<ax+sa AND byy>ay AND byy-ay<bx-ax AS deep FROM pr)""") + "SELECT a, b, ab AS covers, ba AS covered_by, NOT inner_meet AS touches, inner_meet AND NOT ab AND NOT ba AS overlaps, deep AS contains_properly, false AS crosses FROM cv")
 def predicates(spark: SparkSession, d: str) -> DataFrame:
-    return _pairs(spark, d, pairs.predicates, "".join(f", {p} boolean" for p in pairs.PREDICATES))
+    return _met(spark, d, pairs.predicates, "".join(f", {p} boolean" for p in pairs.PREDICATES))
 
 
 @query(W(i.SQL_FP, SQL_SMALL, SQL_PAIRS, "ar AS (SELECT *, pow(least(ay-ax,byy-bx)+least(ax+sa,bx+sb)-greatest(ay,byy), 2)/2 AS both_area FROM pr)") + "SELECT a, b, round(both_area, 1) AS both_area, round(sa*sa/2-both_area, 1) AS left_only FROM ar")
 def overlay_areas(spark: SparkSession, d: str) -> DataFrame:
     """What two triangles that meet share is such a triangle again."""
-    size = lambda c: F.round(geo.area(c), 1)
-    g = ("l_geom", "r_geom")
-    return _met(spark, d).select(F.col("l_fid").alias("a"), F.col("r_fid").alias("b"), size(vector.intersection(*g)).alias("both_area"), size(vector.difference(*g)).alias("left_only"))
+    met = _met(spark, d, pairs.overlay_areas, ", both_area double, left_only double")
+    return met.select("a", "b", F.round("both_area", 1).alias("both_area"), F.round("left_only", 1).alias("left_only"))
 
 
 @query(W(i.SQL_FP) + "SELECT fid, CAST(greatest(w*h, 18*w*w) AS DOUBLE) AS area FROM fp")

@@ -13,6 +13,8 @@ import pyarrow as pa
 
 from geoloom.functions import kernel
 
+POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+GEOM = pa.list_(pa.list_(pa.list_(POINT)))
 SIDES = 16
 CHUNK = 50_000  # pairs at a time
 
@@ -44,6 +46,7 @@ class Shapes:
             lone = self.polys[poly + 1] - ring == 1
             at = np.flatnonzero(one)[lone]
             start[at], length[at] = self.rings[ring[lone]], self.rings[ring[lone] + 1] - self.rings[ring[lone]]
+        self.start, self.sides = start, np.maximum(length - 1, 0)
         self.convex, self.area = np.zeros(self.n, bool), np.zeros(self.n)
         found = []
         for size in np.unique(length[(length >= 4) & (length <= SIDES + 1)]).tolist():
@@ -120,16 +123,23 @@ def intersects(a: Shapes, b: Shapes, i: np.ndarray, j: np.ndarray) -> np.ndarray
     return _pairwise(a, b, i, j, quick, lambda g, h: (kernel.intersects(g, h),), {"met": bool})["met"]
 
 
-def _clip(x: np.ndarray, y: np.ndarray, side: np.ndarray, at: Callable | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Open rings in columns cut by a half plane each, side >= 0 being kept: rings padded with their first vertex, and their lengths."""
+def _clip(x: np.ndarray, y: np.ndarray, side: np.ndarray, length: np.ndarray | None = None, axis: int | None = None, bound: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Open rings in columns cut by a half plane each, side >= 0 being kept: rings padded with their first vertex, and their lengths.
+
+    length: vertices before padding. The line is where the coordinate of ``axis`` is ``bound``, if given.
+    """
     k, n = x.shape
     nx, ny, beyond = np.roll(x, -1, 0), np.roll(y, -1, 0), np.roll(side, -1, 0)
     kept, cut = side >= 0, ((side > 0) & (beyond < 0)) | ((side < 0) & (beyond > 0))
+    if length is not None:
+        kept &= np.arange(k)[:, None] < length
     t = side / np.where(cut, side - beyond, 1.0)
+    cx, cy = bound if axis == 0 else x + t * (nx - x), bound if axis == 1 else y + t * (ny - y)
+    cx, cy = np.broadcast_to(cx, x.shape), np.broadcast_to(cy, x.shape)
     count = np.zeros(n, np.int64)
     ox, oy = np.zeros((2 * k, n)), np.zeros((2 * k, n))
     for r in range(k):
-        for which, vx, vy in ((kept[r], x[r], y[r]), (cut[r], x[r] + t[r] * (nx[r] - x[r]), y[r] + t[r] * (ny[r] - y[r]))):
+        for which, vx, vy in ((kept[r], x[r], y[r]), (cut[r], cx[r], cy[r])):
             c = np.flatnonzero(which)
             ox[count[c], c], oy[count[c], c] = vx[c], vy[c]
             count[c] += 1
@@ -188,3 +198,162 @@ def predicates(a: Shapes, b: Shapes, i: np.ndarray, j: np.ndarray) -> dict[str,
 
     slow = lambda g, h: (kernel.covers(g, h), kernel.within(g, h), kernel.touches(g, h), kernel.overlaps(g, h), kernel.contains_properly(g, h), kernel.crosses(g, h))
     return _pairwise(a, b, i, j, quick, slow, dict.fromkeys(PREDICATES, bool))
+
+
+# polygons cut by boxes ---------------------------------------------------------------------------
+def clip_to_boxes(array: pa.Array, minx: np.ndarray, miny: np.ndarray, maxx: np.ndarray, maxy: np.ndarray) -> pa.Array:
+    """kernel.clip_to_box of each geometry and its own box; convex ones in arrays."""
+    s = Shapes(array)
+    quick = np.flatnonzero(s.convex)
+    parts = []
+    for sides in np.unique(s.sides[quick]).tolist():
+        alike = quick[s.sides[quick] == sides]
+        for k in range(0, len(alike), CHUNK):
+            at = alike[k : k + CHUNK]
+            where = s.start[at] + np.arange(sides)[:, None]
+            x, y, count = s.x[where], s.y[where], np.full(len(at), sides)
+            for axis, bound, sign in ((0, minx[at], 1), (0, maxx[at], -1), (1, miny[at], 1), (1, maxy[at], -1)):
+                x, y, count = _clip(x, y, sign * ((y if axis else x) - bound), count, axis, bound)
+            parts.append((at, x, y, count, (count > 2) & (np.abs(shoelace(x, y)) > 0)))
+    out: list = [None] * s.n
+    # rows are put together as flat arrays, in order; what isn't convex goes one by one
+    slow = {k: kernel.clip_to_box(s.geom(k), minx[k], miny[k], maxx[k], maxy[k]) for k in np.flatnonzero(~s.convex).tolist()}
+    if slow:
+        for k, g in slow.items():
+            out[k] = [[[{"x": float(px), "y": float(py)} for px, py in r] for r in p] for p in g]
+    return _assembled(s, parts, out)
+
+
+def _assembled(s: Shapes, parts: list, out: list) -> pa.Array:
+    """One ring for each convex shape that has a part left, as an Arrow column; the others from lists."""
+    xs, ys, lengths, owners = [], [], [], []
+    for at, x, y, count, kept in parts:
+        c = np.flatnonzero(kept)
+        rows = len(x)
+        px, py = np.vstack((x[:, c], x[:1, c])), np.vstack((y[:, c], y[:1, c]))  # a row after the last for the closing vertex
+        n = count[c]
+        take = np.arange(rows + 1)[:, None] <= n
+        last = np.arange(rows + 1)[:, None] == n
+        px, py = np.where(last, px[0], px), np.where(last, py[0], py)
+        xs.append(px.T[take.T])
+        ys.append(py.T[take.T])
+        lengths.append(n + 1)
+        owners.append(at[c])
+    if xs:
+        x, y, length, owner = (np.concatenate(v) for v in (xs, ys, lengths, owners))
+    else:
+        x = y = np.zeros(0)
+        length = owner = np.zeros(0, np.int64)
+    points = pa.StructArray.from_arrays([pa.array(x), pa.array(y)], fields=list(POINT))
+    offsets = lambda n: pa.array(np.concatenate(([0], np.cumsum(n))), pa.int32())
+    order = np.argsort(owner, kind="stable")
+    if (order[1:] < order[:-1]).any():  # rings in the order of their shapes
+        begin = np.concatenate(([0], np.cumsum(length)))[:-1][order]
+        length = length[order]
+        take = np.repeat(begin - np.concatenate(([0], np.cumsum(length)))[:-1], length) + np.arange(length.sum())
+        points = points.take(pa.array(take))
+    has = np.zeros(s.n, np.int64)
+    has[owner] = 1
+    rings = pa.ListArray.from_arrays(offsets(length), points)
+    polygons = pa.ListArray.from_arrays(pa.array(np.arange(len(owner) + 1), pa.int32()), rings)
+    quick = pa.ListArray.from_arrays(offsets(has), polygons).cast(GEOM)
+    other = [k for k, g in enumerate(out) if g is not None]
+    if not other:
+        return quick
+    place = np.arange(s.n)
+    place[other] = s.n + np.arange(len(other))
+    return pa.concat_arrays([quick, pa.array([out[k] for k in other], GEOM)]).take(pa.array(place))
+
+
+class Outlines:
+    """Geometries as lists of sides by number of sides, for tests by even and odd over all rings."""
+
+    def __init__(self, array: pa.Array):
+        s = self.shapes = Shapes(array)
+        self.n = s.n
+        ring_of = np.repeat(np.arange(len(s.rings) - 1), np.diff(s.rings))
+        poly_of_ring = np.repeat(np.arange(len(s.polys) - 1), np.diff(s.polys))
+        geom_of_poly = np.repeat(np.arange(s.n), np.diff(s.geoms))
+        start = np.flatnonzero((np.arange(len(ring_of)) + 1 < len(ring_of)) & (np.append(ring_of[1:], -1) == ring_of))
+        self.p = start  # a side goes from point p to p + 1
+        self.owner = geom_of_poly[poly_of_ring[ring_of[start]]] if len(start) else np.zeros(0, np.int64)
+        self.first = s.rings[ring_of[start]] if len(start) else np.zeros(0, np.int64)
+        self.hole = (ring_of[start] != s.polys[poly_of_ring[ring_of[start]]]) if len(start) else np.zeros(0, bool)
+        self.ring = ring_of[start] if len(start) else np.zeros(0, np.int64)
+        small = (s.rings[1:] - s.rings[:-1] < 4)[self.ring] if len(start) else np.zeros(0, bool)
+        self.small = small
+        self.count = np.bincount(self.owner, minlength=self.n)
+        self.begin = np.concatenate(([0], np.cumsum(self.count)))[:-1]
+
+    def _sides(self, at: np.ndarray) -> tuple:
+        """Positions among the sides, a column each, padded, and what is no padding."""
+        most = int(self.count[at].max(initial=0))
+        k = np.arange(most)[:, None]
+        real = k < self.count[at]
+        return np.where(real, self.begin[at] + k, 0), real
+
+    def contain(self, at: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether each shape holds its own point: a ray to the left, half-open edges."""
+        out = np.zeros(len(at), bool)
+        if not len(self.p):
+            return out
+        s = self.shapes
+        for group in self._alike(at):
+            side, real = self._sides(at[group])
+            odd = np.zeros(len(group), bool)
+            gx, gy = x[group], y[group]
+            for k in range(len(side)):
+                p = self.p[side[k]]
+                odd ^= real[k] & ~self.small[side[k]] & _hit(s.x[p], s.y[p], s.x[p + 1], s.y[p + 1], gx, gy)
+            out[group] = odd
+        return out
+
+    def _alike(self, at: np.ndarray) -> list[np.ndarray]:
+        """Positions in ``at`` by the size of their number of sides, so that padding at most doubles them."""
+        size = np.ceil(np.log2(np.maximum(self.count[at], 1))).astype(int)
+        return [np.flatnonzero(size == v) for v in np.unique(size)]
+
+    def hold_any(self, at: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether any of the points lies in each shape; more points at a time for those that held none so far."""
+        found = np.zeros(len(at), bool)
+        if not len(self.p):
+            return found
+        s = self.shapes
+        for group in self._alike(at):
+            left, begin, step = group, 0, 8
+            while len(left) and begin < len(x):
+                side, real = self._sides(at[left])
+                step = max(1, min(step, 2_000_000 // len(left)))
+                gx, gy = x[begin : begin + step][:, None], y[begin : begin + step][:, None]
+                odd = np.zeros((len(gx), len(left)), bool)
+                for k in range(len(side)):
+                    p = self.p[side[k]]
+                    odd ^= (real[k] & ~self.small[side[k]]) & _hit(s.x[p], s.y[p], s.x[p + 1], s.y[p + 1], gx, gy)
+                held = odd.any(0)
+                found[left[held]] = True
+                left = left[~held]
+                begin += step
+                step *= 2
+        return found
+
+    def centroids(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Centroids by area as columns.centroid has them, summed side by side in order, ring by ring."""
+        s, p = self.shapes, self.p
+        ox, oy = s.x[self.first], s.y[self.first]
+        cross = (s.x[p] - ox) * (s.y[p + 1] - oy) - (s.x[p + 1] - ox) * (s.y[p] - oy)
+        of_ring = lambda v: np.bincount(self.ring, v, minlength=len(s.rings) - 1)  # adds in order
+        area = of_ring(np.where(self.small, 0.0, cross)) / 2
+        hole = np.zeros(len(area), bool)
+        hole[self.ring[self.hole]] = True
+        owner = np.zeros(len(area), np.int64)
+        owner[self.ring] = self.owner
+        of_shape = lambda v: np.bincount(owner, np.where(hole, -v, v), minlength=self.n)[at]
+        moment = lambda c, o: of_ring(cross * (c[p] + c[p + 1] + o)) / 6 * np.sign(area)
+        total = of_shape(np.abs(area))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            return of_shape(moment(s.x, ox)) / total, of_shape(moment(s.y, oy)) / total
+
+
+def _hit(ax: np.ndarray, ay: np.ndarray, bx: np.ndarray, by: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    spans = (ay > y) != (by > y)
+    return spans & (x > ax + (y - ay) * (bx - ax) / np.where(spans, by - ay, 1.0))

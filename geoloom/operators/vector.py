@@ -8,20 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.functions import columns as geo
-from geoloom.functions import kernel
+from geoloom.functions import kernel, pairs
 from geoloom.functions.grid import GridSpec
 from geoloom.operators import joins, raster
 from geoloom.operators.graph import connected_components
-from geoloom.plans.batches import by_group
+from geoloom.plans.batches import by_block, by_group
 from geoloom.plans.materialize import materialize
 
-POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
-GEOM = pa.list_(pa.list_(pa.list_(POINT)))
+GEOM = pairs.GEOM
 
 
 def read(geom: list | None) -> kernel.Geometry:
@@ -265,6 +265,12 @@ def burn_field(layer: DataFrame, grid: GridSpec, field: str, order: str = "fid",
     return last.select("rx", "ry", "of.v")
 
 
+def _cell_boxes(grid: GridSpec, rx: np.ndarray, ry: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Left, lower, right and upper sides of cells."""
+    left, top = grid.origin_x + rx * grid.pixel_width, grid.origin_y + ry * grid.pixel_height
+    return left, top + grid.pixel_height, left + grid.pixel_width, top
+
+
 def grid_slice(layer: DataFrame, grid: GridSpec, key: str = "orig_fid") -> DataFrame:
     """(id, rx, ry, geom): the layer cut by all grid lines."""
     named = with_envelope(layer.select(F.col(key).alias("id"), "geom"))
@@ -272,26 +278,41 @@ def grid_slice(layer: DataFrame, grid: GridSpec, key: str = "orig_fid") -> DataF
 
     @F.arrow_udf(geo.GEOM)
     def clip(geoms: pa.Array, xs: pa.Array, ys: pa.Array) -> pa.Array:
-        out, last, text = [], None, None
-        for g, x, y in zip(geoms, xs.to_pylist(), ys.to_pylist(), strict=True):
-            if last is None or not g.equals(last):
-                last, text = g, read(g.as_py())
-            left, top = grid.origin_x + x * grid.pixel_width, grid.origin_y + y * grid.pixel_height
-            out.append(write(kernel.clip_to_box(text, left, top + grid.pixel_height, left + grid.pixel_width, top)))
-        return pa.array(out, GEOM)
+        return pairs.clip_to_boxes(geoms, *_cell_boxes(grid, xs.to_numpy(), ys.to_numpy()))
 
     return cut.select("id", "rx", "ry", clip("geom", "rx", "ry").alias("geom")).where(F.size("geom") > 0)
 
 
 def centre_check(points: DataFrame, slices: DataFrame, grid: GridSpec) -> DataFrame:
     """(id, rx, ry, corner) for polygon slices that hold a point (x, y, rx, ry) but not their cell's centre; see settle.centre_check."""
-    s = slices.withColumn("sid", F.xxhash64("id", "rx", "ry"))
-    held = points.join(s.select("id", "rx", "ry", "geom", "sid"), ["rx", "ry"]).where(geo.contains_point("geom", "x", "y")).select("sid").distinct()
-    c = geo.centroid("geom")
-    named = s.join(held, "sid", "left_semi").where(~geo.contains_point("geom", grid.centre_x("rx"), grid.centre_y("ry"))).withColumn("c", c)
-    right = grid.left(F.col("rx") + 1) - F.col("c.x") < F.col("c.x") - grid.left("rx")
-    top = grid.top("ry") - F.col("c.y") < F.col("c.y") - grid.top(F.col("ry") + 1)
-    return named.select("id", "rx", "ry", F.when(right & top, 0).when(right, 1).when(top, 3).otherwise(2).alias("corner"))
+    none = F.lit(None).cast("double")
+    both = slices.select("rx", "ry", "id", none.alias("x"), none.alias("y"), "geom").union(points.select("rx", "ry", F.lit(None).cast(slices.schema["id"].dataType), F.col("x").cast("double"), F.col("y").cast("double"), F.lit(None).cast(geo.GEOM)))
+
+    # a crowded cell's slices are dealt into blocks, each with all points of the cell
+    full = slices.groupBy("rx", "ry").agg(F.ceil(F.count("*") / joins.CROWD).cast("int").alias("parts")).where("parts > 1")
+    dealt = both.where("rx is not null and ry is not null").join(full, ["rx", "ry"], "left")
+    parts = F.coalesce("parts", F.lit(1))
+    each = F.sequence(F.lit(0), parts - 1)
+    dealt = dealt.withColumn("part", F.explode(F.when(F.col("geom").isNull(), each).otherwise(F.array(F.pmod(F.xxhash64("id"), parts).cast("int"))))).drop("parts")
+
+    def run(key: tuple, rows: pa.Table):
+        is_point = rows.column("geom").is_null().to_numpy()
+        px, py = (rows.column(c).to_numpy(zero_copy_only=False)[is_point] for c in ("x", "y"))
+        of = rows.filter(pa.array(~is_point))
+        if not len(px) or not of.num_rows:
+            return
+        shapes = pairs.Outlines(of.column("geom"))
+        rx, ry = np.full(shapes.n, key[0]), np.full(shapes.n, key[1])
+        x0, y0, x1, y1 = _cell_boxes(grid, rx, ry)
+        at = np.flatnonzero(~shapes.contain(np.arange(shapes.n), grid.origin_x + (rx + 0.5) * grid.pixel_width, grid.origin_y + (ry + 0.5) * grid.pixel_height))
+        at = at[shapes.hold_any(at, px, py)]
+        if len(at):
+            cx, cy = shapes.centroids(at)
+            right, top = x1[at] - cx < cx - x0[at], y1[at] - cy < cy - y0[at]
+            corner = np.select([right & top, right, top], [0, 1, 3], 2)
+            yield [of.column("id").take(pa.array(at)).to_pylist(), rx[at].tolist(), ry[at].tolist(), corner.tolist()]
+
+    return by_block(dealt, ["rx", "ry", "part"], run, f"id {slices.schema['id'].dataType.simpleString()}, rx long, ry long, corner int")
 
 
 def contour_rings(data: DataFrame, grid: GridSpec, level: float, pad: bool = False) -> DataFrame:

@@ -18,7 +18,7 @@ from geoloom.functions import kernel, pairs
 from geoloom.functions.grid import GridSpec
 from geoloom.operators import joins, raster
 from geoloom.operators.graph import connected_components
-from geoloom.plans.batches import by_block, by_group
+from geoloom.plans.batches import by_block, by_group, width
 from geoloom.plans.materialize import materialize
 
 GEOM = pairs.GEOM
@@ -62,7 +62,18 @@ def overlay_udf(f: Callable[[kernel.Geometry, kernel.Geometry], kernel.Geometry]
 
 # each is made when it is used: workers import this module without a session
 def make_valid(geom: Column | str) -> Column:
-    return geometry_udf(kernel.make_valid)(geom)
+    @F.arrow_udf(geo.GEOM)
+    def run(geoms: pa.Array) -> pa.Array:
+        out = geoms.to_pylist()
+        at = [k for k, g in enumerate(out) if g is not None]
+        for k in range(0, len(at), 2_000):
+            some = at[k : k + 2_000]
+            for place, g in zip(some, kernel.make_all_valid([read(out[q]) for q in some]), strict=True):
+                out[place] = write(g)
+        return pa.array(out, GEOM)
+
+    # else a filter on the result, as in fix_geom, would be pushed below it with a second call
+    return run.asNondeterministic()(geom)
 
 
 def intersects(a: Column | str, b: Column | str) -> Column:
@@ -137,8 +148,11 @@ def with_envelope(layer: DataFrame) -> DataFrame:
 
 
 def fix_geom(layer: DataFrame, key: str = "fid") -> DataFrame:
-    """Valid geometries, attributes as they are, orig_fid as the key; what has no area left is dropped."""
-    fixed = layer.drop("orig_fid").withColumn("geom", make_valid("geom")).withColumn("orig_fid", F.col(key))
+    """Valid geometries, attributes as they are, orig_fid as the key; what has no area left is dropped.
+
+    Rows are dealt out first: a small file is one or two tasks otherwise, and repair costs far more than reading.
+    """
+    fixed = layer.drop("orig_fid").repartition(width(layer.sparkSession)).withColumn("geom", make_valid("geom")).withColumn("orig_fid", F.col(key))
     return fixed.where(F.size("geom") > 0)
 
 
@@ -280,7 +294,7 @@ def grid_slice(layer: DataFrame, grid: GridSpec, key: str = "orig_fid") -> DataF
     def clip(geoms: pa.Array, xs: pa.Array, ys: pa.Array) -> pa.Array:
         return pairs.clip_to_boxes(geoms, *_cell_boxes(grid, xs.to_numpy(), ys.to_numpy()))
 
-    return cut.select("id", "rx", "ry", clip("geom", "rx", "ry").alias("geom")).where(F.size("geom") > 0)
+    return cut.select("id", "rx", "ry", clip.asNondeterministic()("geom", "rx", "ry").alias("geom")).where(F.size("geom") > 0)
 
 
 def centre_check(points: DataFrame, slices: DataFrame, grid: GridSpec) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
@@ -51,18 +51,20 @@ def by_group(df: DataFrame, keys: list[str], f: Callable[[tuple, pa.Table], list
     return df.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
+def width(spark: SparkSession) -> int:
+    """Partitions for kernel work: as the session has them, and two for each core at least."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
 def by_block(df: DataFrame, keys: list[str], f: Callable[[tuple, pa.Table], Iterator[list]], schema: str) -> DataFrame:
     """f(key, rows) -> columns (arrays of one length), any number of times, for each run of equal whole-number keys.
 
-    The number of partitions is that of the session, and two for each core at least: the rows are few beside
-    the work they make, so they are not put together by size.
+    The rows are few beside the work they make, so partitions aren't put together by size.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
-    spark = df.sparkSession
-    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = []
@@ -79,7 +81,7 @@ def by_block(df: DataFrame, keys: list[str], f: Callable[[tuple, pa.Table], Iter
         whole = [np.concatenate(c) if isinstance(c[0], np.ndarray) else [x for part in c for x in part] for c in zip(*held, strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(c, field.type) for c, field in zip(whole, arrow, strict=True)], schema=arrow)
 
-    return df.repartition(width, *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return df.repartition(width(df.sparkSession), *keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:

@@ -174,8 +174,16 @@ def links(shapes: DataFrame, size: float, within: float = 0, exact: Callable | N
 
     def run(key: tuple, rows: pa.Table) -> Iterator[list]:
         root = np.arange(rows.num_rows)
-        for _, ids, a, b in _meetings(key, rows, True, size, within, exact):
-            root = _linked(root, a, b)
+        for shapes, ids, a, b in _meetings(key, rows, True, size, within, None):
+            step = 20_000 if exact else len(a)
+            for k in range(0, len(a), step):
+                i, j = a[k : k + step], b[k : k + step]
+                apart = root[i] != root[j]  # what is linked already needs no test
+                i, j = i[apart], j[apart]
+                if exact and len(i):
+                    met = exact(shapes, shapes, i, j)
+                    i, j = i[met], j[met]
+                root = _linked(root, i, j)
         tied = np.flatnonzero(root != np.arange(len(root)))
         if len(tied):
             yield [ids[root[tied]], ids[tied]]

@@ -210,8 +210,7 @@ def dissolve(layer: DataFrame, size: float, no_holes: bool = False, levels: int
     first = True
     while True:
         work = materialize(with_envelope(work))
-        met = joins.spatial_join(work.select("id", "geom", *joins.ENVELOPE), work.select("id", "geom", *joins.ENVELOPE), size)
-        met = met.where("l_id < r_id").where(intersects("l_geom", "r_geom")).select(F.col("l_id").alias("src"), F.col("r_id").alias("dst"))
+        met = joins.links(work.select("id", "geom", *joins.ENVELOPE), size, exact=pairs.intersects).toDF("src", "dst")
         met = materialize(met)
         if met.isEmpty() and not first:
             break

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from geoloom.functions import columns as geo
 from geoloom.functions.grid import GridSpec
-from geoloom.functions.kernel import geodesic_distance
+from geoloom.functions.kernel import geodesic_distance, linked
 from geoloom.functions.pairs import Shapes
 from geoloom.functions.pairs import intersects as shapes_meet
 from geoloom.operators.graph import connected_components
@@ -155,19 +155,6 @@ def least_met(left: DataFrame, right: DataFrame, size: float, exact: Callable |
     return by_block(dealt, keys, run, "id long, least long").groupBy("id").agg(F.min("least").alias("least"))
 
 
-def _linked(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Roots (least positions) once the pairs (a, b) are linked too."""
-    while True:
-        u, v = root[a], root[b]
-        apart = u != v
-        if not apart.any():
-            return root
-        a, b, u, v = a[apart], b[apart], u[apart], v[apart]
-        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
-        while (root[root] != root).any():
-            root = root[root]
-
-
 def links(shapes: DataFrame, size: float, within: float = 0, exact: Callable | None = None, crowd: int = CROWD) -> DataFrame:
     """(a, b): links that hold together what meets, fewer than shapes in each block, instead of all pairs."""
     dealt, keys = _blocks(shapes, None, size, within, crowd)
@@ -183,7 +170,7 @@ def links(shapes: DataFrame, size: float, within: float = 0, exact: Callable | N
                 if exact and len(i):
                     met = exact(shapes, shapes, i, j)
                     i, j = i[met], j[met]
-                root = _linked(root, i, j)
+                root = linked(root, i, j)
         tied = np.flatnonzero(root != np.arange(len(root)))
         if len(tied):
             yield [ids[root[tied]], ids[tied]]

@@ -6,7 +6,7 @@ Arrow batches; what has a closed form stays in Columns.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +76,19 @@ def make_valid(geom: Column | str) -> Column:
     return run.asNondeterministic()(geom)
 
 
+def tidy(geom: Column | str) -> Column:
+    """Each geometry as kernel.union gives it by itself."""
+
+    @F.arrow_udf(geo.GEOM)
+    def run(geoms: pa.Array) -> pa.Array:
+        out = [read(g) for g in geoms.to_pylist()]
+        for k in range(0, len(out), 2_000):
+            out[k : k + 2_000] = kernel.overlays([[g] for g in out[k : k + 2_000]], lambda w: w[:, 0] > 0)
+        return pa.array([write(g) for g in out], GEOM)
+
+    return run.asNondeterministic()(geom)
+
+
 def intersects(a: Column | str, b: Column | str) -> Column:
     return predicate_udf(kernel.intersects)(a, b)
 
@@ -247,16 +260,96 @@ def numbered(layer: DataFrame, name: str) -> DataFrame:
     return cut.withColumn(name, (own + before).cast("long")).drop("__r")
 
 
-def group_polygons(layer: DataFrame, within: float, size: float, key: str = "fid") -> DataFrame:
-    """(id, geom, poly_count): shapes that hang together by proximity, as multipolygons."""
+def group_members(layer: DataFrame, within: float, size: float, key: str = "fid") -> DataFrame:
+    """(id, geom): each shape with the group of those that hang together by proximity."""
     named = with_envelope(layer)
     of = joins.group_near(named, within, size, key).withColumnRenamed("id", "__id")
-    both = named.join(of, F.col(key) == F.col("__id"))
-    return both.groupBy(F.col("group_id").alias("id")).agg(F.flatten(F.collect_list("geom")).alias("geom"), F.sum(F.size("geom")).alias("poly_count"))
+    return named.join(of, F.col(key) == F.col("__id")).select(F.col("group_id").alias("id"), "geom")
 
 
-def fill_centres(groups: DataFrame, grid: GridSpec) -> DataFrame:
-    return groups.withColumn("geom", geometry_udf(lambda g: kernel.fill_centre(g, grid))("geom"))
+def group_polygons(layer: DataFrame, within: float, size: float, key: str = "fid") -> DataFrame:
+    """(id, geom, poly_count): shapes that hang together by proximity, as multipolygons."""
+    both = group_members(layer, within, size, key)
+    return both.groupBy("id").agg(F.flatten(F.collect_list("geom")).alias("geom"), F.sum(F.size("geom")).alias("poly_count"))
+
+
+def _united(layer: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, geom, n): the polygons of the union of each key's shapes, n of which are in it; a lone polygon stays as it is."""
+
+    def f(key: tuple, rows: pa.Table) -> Iterator[list]:
+        geoms = [read(g) for g in rows.column("geom").to_pylist()]
+        whole = geoms[0] if len(geoms) == 1 and len(geoms[0]) == 1 else kernel.union(geoms)
+        yield [*([k] * len(whole) for k in key), [write([p]) for p in whole], [sum(rows.column("n").to_pylist())] * len(whole)]
+
+    return by_block(layer.select(*keys, "geom", "n"), keys, f, ", ".join(f"{k} long" for k in keys) + f", geom {geo.GEOM}, n long")
+
+
+def fill_centres(members: DataFrame, grid: GridSpec, size: float, levels: int = 2) -> DataFrame:
+    """(id, geom, poly_count): kernel.fill_centre of groups given as members (id, geom); poly_count is that of the members.
+
+    No group is put together before its inner buildings are gone: those left are united in buckets of side
+    ``size``, what meets across buckets in ones 8 and 64 times as large, and then with the inner cells.
+    """
+    polys = members.select("id", F.explode_outer("geom").alias("p")).select("id", F.when(F.col("p").isNotNull(), F.array("p")).alias("geom"))
+    polys = materialize(with_envelope(polys))
+    shell = F.get(F.get("geom", F.lit(0)), F.lit(0))
+    cell = F.transform(shell, lambda q: F.struct(grid.cell_x(q["x"]).alias("rx"), grid.cell_y(q["y"]).alias("ry")))
+    occupied = polys.select("id", F.explode(F.array_distinct(cell)).alias("c")).select("id", "c.rx", "c.ry").distinct()
+
+    def run(key: tuple, rows: pa.Table) -> Iterator[list]:
+        rx, ry = kernel.inner_cells(rows.column("rx").to_numpy(), rows.column("ry").to_numpy())
+        if len(rx):
+            yield [np.full(len(rx), key[0]), rx, ry]
+
+    inner = materialize(by_block(occupied, ["id"], run, "id long, rx long, ry long"))
+    filled = inner.select("id").distinct()
+
+    # a building goes whose envelope corners are all in inner cells
+    at = {"ax": grid.cell_x("minx"), "ay": grid.cell_y("miny"), "bx": grid.cell_x("maxx"), "by": grid.cell_y("maxy")}
+    placed = polys.join(filled, "id", "left_semi").where("minx is not null").withColumns(at)
+    corners = F.array(*[F.struct(F.col(x).alias("rx"), F.col(y).alias("ry")) for x in ("ax", "bx") for y in ("ay", "by")])
+    places = placed.select("id", *at).distinct().withColumn("c", F.explode(F.array_distinct(corners))).select("id", *at, "c.rx", "c.ry")
+    held = places.join(inner.withColumn("held", F.lit(1)), ["id", "rx", "ry"], "left").groupBy("id", *at).agg(F.count("*").alias("corners"), F.count("held").alias("held"))
+    kept = placed.join(held.where("corners = held").select("id", *at), ["id", *at], "left_anti").withColumn("n", F.lit(1).cast("long"))
+
+    def bucketed(shapes: DataFrame, side: float) -> DataFrame:
+        return shapes.withColumns({"bx": F.floor(F.col("minx") / side).cast("long"), "by": F.floor(F.col("miny") / side).cast("long")})
+
+    pieces = with_envelope(_united(bucketed(kept.drop(*at), size), ["id", "bx", "by"]).drop("bx", "by"))
+    pieces = materialize(pieces.withColumn("piece", F.monotonically_increasing_id()))
+    met = joins.links(pieces.select(F.col("piece").alias("id"), "geom", *joins.ENVELOPE), size, exact=pairs.intersects)
+    component = connected_components(met, "a", "b", finish=200_000)
+    pieces = materialize(pieces.join(component, F.col("piece") == F.col("node"), "left").withColumn("c", F.coalesce("component", "piece")).drop("node"))
+    # what meets an inner cell, in its border too, is united with all inner cells of the group: as component -1
+    u = lambda x: (F.col(x) - grid.origin_x) / grid.pixel_width
+    v = lambda y: (F.col(y) - grid.origin_y) / grid.pixel_height
+    span = lambda a, b: F.explode(F.sequence((F.ceil(F.least(a, b)) - 1).cast("long"), F.floor(F.greatest(a, b)).cast("long")))
+    near = pieces.select("id", "c", span(u("minx"), u("maxx")).alias("rx"), v("miny").alias("v0"), v("maxy").alias("v1")).select("id", "c", "rx", span(F.col("v0"), F.col("v1")).alias("ry"))
+    core = near.distinct().join(inner, ["id", "rx", "ry"], "left_semi").select("c").distinct().withColumn("core", F.lit(-1).cast("long"))
+    pieces = materialize(pieces.join(core, "c", "left"))
+    met, alone = F.coalesce("core", "component").isNotNull(), pieces.where("core is null and component is null")
+    alone = alone.where("n > 1").select("id", "geom").union(alone.where("n = 1").select("id", tidy("geom").alias("geom")))
+    work = pieces.where(met).withColumn("c", F.coalesce("core", "c"))
+    for level in range(1, levels + 1):
+        work = with_envelope(_united(bucketed(work, size * 8**level), ["id", "c", "bx", "by"]).drop("bx", "by"))
+    none = lambda kind: F.lit(None).cast(kind)
+    work = work.select("id", "c", "geom", "n", none("long").alias("rx"), none("long").alias("ry"))
+    cells = inner.select("id", F.lit(-1).cast("long").alias("c"), none(geo.GEOM).alias("geom"), F.lit(0).cast("long").alias("n"), "rx", "ry")
+
+    def whole(key: tuple, rows: pa.Table) -> Iterator[list]:
+        is_cell = rows.column("geom").is_null().to_numpy()
+        of = rows.filter(pa.array(~is_cell))
+        geoms = [read(g) for g in of.column("geom").to_pylist()]
+        if is_cell.any():
+            rx, ry = (rows.filter(pa.array(is_cell)).column(c).to_pylist() for c in ("rx", "ry"))
+            geoms.append(kernel.cells_to_polygons(set(zip(rx, ry, strict=True)), grid))
+        yield [[key[0]], [write(kernel.union(geoms))]]
+
+    done = by_block(work.union(cells), ["id", "c"], whole, f"id long, geom {geo.GEOM}")
+    rest = polys.join(filled, "id", "left_anti").select("id", "geom")
+    gathered = done.union(alone).union(rest).groupBy("id").agg(F.flatten(F.collect_list("geom")).alias("geom"))
+    counts = polys.groupBy("id").agg(F.count("geom").alias("poly_count"))
+    return counts.join(gathered, "id", "left").select("id", F.coalesce("geom", F.array().cast(geo.GEOM)).alias("geom"), "poly_count")
 
 
 def rasterize(layer: DataFrame, grid: GridSpec, key: str = "orig_fid", all_touched: bool = False) -> DataFrame:

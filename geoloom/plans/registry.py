@@ -473,8 +473,7 @@ def dissolve(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def fill_centres(spark: SparkSession, d: str) -> DataFrame:
-    groups = vector.group_polygons(_shapes(spark, d), 30, 400)
-    out = vector.fill_centres(groups, i.GRID)
+    out = vector.fill_centres(vector.group_members(_shapes(spark, d), 30, 400), i.GRID, 400)
     return out.select("id", "poly_count", F.size("geom").alias("polys"), F.round(geo.area("geom"), 1).alias("area"))
 
 

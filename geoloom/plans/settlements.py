@@ -32,7 +32,7 @@ def settlements(buildings: DataFrame, reference: GridSpec, config: Config = Conf
     fixed = materialize(vector.with_envelope(vector.fix_geom(buildings.select("fid", "geom"))))
     extent = fixed.agg(F.min("minx").alias("a"), F.min("miny").alias("b"), F.max("maxx").alias("c"), F.max("maxy").alias("e")).first()
     grid = reference.expanded(extent["a"], extent["b"], extent["c"], extent["e"])
-    groups = vector.fill_centres(vector.group_polygons(fixed.select("fid", "geom"), config.group_distance, size), grid)
+    groups = vector.fill_centres(vector.group_members(fixed.select("fid", "geom"), config.group_distance, size), grid, size)
     outlines = vector.dissolve(vector.buffer_metres(groups, config.buffer_metres, config.quad_segs), size, no_holes=True)
     c = geo.centroid("geom")
     points = fixed.withColumn("c", c).select("fid", F.col("c.x").alias("x"), F.col("c.y").alias("y"))

@@ -13,88 +13,223 @@ words that are clustered grow with the vocabulary.
 Words of at least the count that keeps the list under ``LISTED`` words are looked up in the kernel from a
 broadcast of that proven size; all others through a join with the whole lexicon. An unknown word has the
 class of its spelling and shares one unseen place in it with all others.
+
+Texts are split twice: learning rows for the counts, all rows for the places of their words in the list. These
+are written once, as arrays, and all that follows works on them. Counts and neighbours of words are shuffled
+by buckets of words, a row for all that a task holds of a bucket.
 """
 
 from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.llm.language_id import held_out
-from geoloom.llm.tables import texts
 from geoloom.plans.materialize import materialize
 
 FREQUENT, SPELLINGS, CLASSES, LISTED, LEAST = 768, 256, 48, 1 << 18, 3
 KEYS = 3_000_000  # contexts held before they are packed
+HELD = 2_000_000  # tokens held before they are counted
+BUCKETS = 4096  # of words, by checksum: a shuffled row holds what one task has of a bucket
 END = b""  # stands for the end of a text; no word is empty
 DELTA, PRIOR = 0.1, 2.0
 PAIR = np.dtype([("context", "u1"), ("n", "<u4")])
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """Words between ASCII white space, A-Z lowered; without the end."""
-    return text.lower().split()
+def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words between ASCII white space, A-Z lowered, of all texts together, and how many each text has; null counts as empty."""
+    texts = pc.fill_null(column.cast(options=pc.CastOptions(pa.string(), allow_invalid_utf8=True)), "")
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat, n = parts.flatten().cast(pa.binary()), pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
+    full = pc.binary_length(flat).to_numpy(zero_copy_only=False) > 0  # white space at the ends leaves empty parts
+    if not full.all():
+        before = np.concatenate(([0], np.cumsum(full)))
+        flat, n = flat.filter(pa.array(full)), np.diff(before[np.concatenate(([0], np.cumsum(n)))])
+    return flat, n
 
 
 def spelling(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % SPELLINGS
 
 
+def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
+
+
+def _cut(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Binary values: the bytes of values[bounds[i]:bounds[i + 1]]."""
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer((bounds * values.itemsize).astype(np.int32).tobytes()), pa.py_buffer(values.tobytes())])
+
+
+def _flat(column: pa.Array, kind: np.dtype | type) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all binary values together, and how many each value has."""
+    column = column.cast(pa.binary())
+    size = np.dtype(kind).itemsize
+    n = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64) // size
+    return np.frombuffer(b"".join(column.drop_null().to_pylist()), kind), n
+
+
+def _joined(words: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """words[bounds[i]:bounds[i + 1]] with a space between any two."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), words), pa.scalar(b" ", pa.binary()))
+
+
+def _apart(joined: list[bytes]) -> pa.Array:
+    """The words of several joined values; none of these is empty but that of the end."""
+    return pc.split_pattern(pa.array([b" ".join(joined)], pa.binary()), b" ").flatten()
+
+
+def _padded(values: np.ndarray, n: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """All texts' values with ``end`` before, between and after them, and where each value stands."""
+    at = np.arange(len(values)) + np.repeat(np.arange(len(n)), n) + 1
+    out = np.full(len(values) + len(n) + 1, end, np.int64)
+    out[at] = values
+    return out, at
+
+
+def _dealt(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The order of words by bucket, the buckets that occur, and the bounds of each."""
+    bucket = np.fromiter(map(zlib.crc32, words.to_pylist()), np.uint32, len(words)) % BUCKETS
+    order = np.argsort(bucket, kind="stable")
+    found, first = np.unique(bucket[order], return_index=True)
+    return order, found.astype(np.int32), np.append(first, len(words))
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """The rows of each value of the first column, by which they are sorted; that value and the other columns."""
+    at, held = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if held and row[0] != at:
+                yield at, held
+                held = []
+            at = row[0]
+            held.append(row[1:])
+    if held:
+        yield at, held
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: Counter = Counter()
+    held: list[pa.Array] = []
+    size = ends = 0
+    names = ["bucket", "words", "n"]
 
     def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["w", "n"])
+        found = pc.value_counts(pa.concat_arrays(held))
+        words, n = found.field("values"), found.field("counts").to_numpy(zero_copy_only=False).astype(np.int64)
+        order, bucket, bounds = _dealt(words)
+        return pa.RecordBatch.from_arrays([pa.array(bucket), _joined(words.take(pa.array(order)), bounds), _cut(n[order], bounds)], names=names)
 
     for batch in batches:
-        for text in texts(batch, "text"):
-            held.update(tokens(text))
-            held[END] += 1
-        if len(held) > 200_000:
+        flat, n = words_of(_column(batch, "text"))
+        ends += len(n)
+        size += len(flat)
+        held.append(flat)
+        if size > HELD:
             yield out()
-            held.clear()
-    yield out()
+            held, size = [], 0
+    if size:
+        yield out()
+    if ends:
+        yield pa.RecordBatch.from_arrays([pa.array([-1], pa.int32()), pa.array([END], pa.binary()), _cut(np.array([ends]), np.array([0, 1]))], names=names)
+
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each bucket: its distinct words and their counts."""
+    for bucket, rows in _groups(batches):
+        found = _apart([w for w, _ in rows]).dictionary_encode()
+        n = np.frombuffer(b"".join(n for _, n in rows), np.int64)
+        c = np.bincount(found.indices.to_numpy(zero_copy_only=False), n).astype(np.int64)
+        bounds = np.array([0, len(c)])
+        yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), _joined(found.dictionary, bounds), _cut(c, bounds)], names=["bucket", "words", "n"])
 
 
-def _neighbours(frequent: list[bytes]):
-    size = len(frequent) + SPELLINGS + 1  # the last entry is the end, also before the first token
+def _level(c: np.ndarray) -> np.ndarray:
+    return np.floor(np.log2(c) * 16).astype(np.int64)
+
+
+def _levels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        c = _flat(_column(batch, "n"), np.int64)[0]
+        level, at, n = np.unique(_level(c), return_inverse=True, return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(level), pa.array(n), pa.array(np.bincount(at, c, len(level)).astype(np.int64))], names=["level", "words", "tokens"])
+
+
+def _commonest(lowest: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = _flat(_column(batch, "n"), np.int64)[0]
+            if len(c):
+                at = pa.array(np.flatnonzero(_level(c) >= lowest))
+                yield pa.RecordBatch.from_arrays([_apart(_column(batch, "words").to_pylist()).take(at), pa.array(c).take(at)], names=["w", "c"])
+
+    return run
+
+
+def _coded(shared):
+    """Places of a text's words in the list, four bytes each, -1 less the spelling for one beyond it; those words apart, joined."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = {w: i for i, w in enumerate(shared.value)}
+        for batch in batches:
+            flat, n = words_of(_column(batch, "text"))
+            found = flat.dictionary_encode()
+            distinct = found.dictionary.to_pylist()
+            code = np.fromiter(map(index.get, distinct, repeat(-1)), np.int32, len(distinct))
+            rare = np.flatnonzero(code < 0)
+            code[rare] = [-1 - spelling(distinct[i]) for i in rare.tolist()]
+            ids = code[found.indices.to_numpy(zero_copy_only=False)]
+            bounds = np.concatenate(([0], np.cumsum(n)))
+            beyond = np.concatenate(([0], np.cumsum(ids < 0)))[bounds]
+            rest = [_column(batch, c) for c in ("id", "doc_id", "held_out")]
+            yield pa.RecordBatch.from_arrays([*rest, _cut(ids, bounds), _joined(flat.filter(pa.array(ids < 0)), beyond)], names=["id", "doc_id", "held_out", "ids", "rare"])
+
+    return run
+
+
+def _by_code(listed: np.ndarray, spelled: np.ndarray) -> np.ndarray:
+    """What is to be looked up by the codes of ``_coded``: those of spellings count from the end."""
+    return np.concatenate((listed, spelled[::-1]))
+
+
+def _neighbours(entry: np.ndarray, size: int):
+    """Counts of each entry's neighbours, by entry; the last entry is the end, also before the first token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entry = _Entries(frequent)
         seen = np.zeros(size * size, np.int64)
+        held: list[np.ndarray] = []
         for batch in batches:
-            ids: list[int] = [size - 1]
-            for text in texts(batch, "text"):
-                ids += [entry[w] for w in tokens(text)]
-                ids.append(size - 1)
-            x = np.array(ids)
-            seen += np.bincount(x[:-1] * size + x[1:], minlength=size * size)
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["pair", "n"])
+            x, _ = _padded(*_looked_up(batch, entry), size - 1)
+            held.append(x[:-1] * size + x[1:])
+            if sum(map(len, held)) > HELD:
+                seen += np.bincount(np.concatenate(held), minlength=size * size)
+                held = []
+        if held:
+            seen += np.bincount(np.concatenate(held), minlength=size * size)
+        bounds = np.arange(size + 1) * size
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(size, dtype=np.int32)), _cut(seen, bounds)], names=["entry", "n"])
 
     return run
 
 
-class _Entries(dict):
-    """Entry of a word in the clustering; remembers a bounded number of spelled ones."""
+def _looked_up(batch: pa.RecordBatch, by_code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    ids, n = _flat(_column(batch, "ids"), np.int32)
+    return by_code[ids], n
 
-    def __init__(self, frequent: list[bytes]):
-        super().__init__((w, i) for i, w in enumerate(frequent))
-        self.first = len(frequent)
 
-    def __missing__(self, word: bytes) -> int:
-        got = self.first + spelling(word)
-        if len(self) < 300_000:
-            self[word] = got
-        return got
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for entry, rows in _groups(batches):
+        n = sum(np.frombuffer(x, np.int64) for (x,) in rows)
+        yield pa.RecordBatch.from_arrays([pa.array([entry], pa.int32()), _cut(n, np.array([0, len(n)]))], names=["entry", "n"])
 
 
 def exchange(pairs: np.ndarray, classes: int, rounds: int = 8) -> np.ndarray:
@@ -158,58 +293,52 @@ class Listed:
     end: int  # class of the end, and how many there are
     ends: int
 
-    def index(self) -> dict[bytes, int]:
-        return {w: i for i, w in enumerate(self.words)}
-
 
 def _contexts(shared, head: int):
-    """Packed counts of the classes before (0..) and after (CLASSES..) each word beyond the ``head`` first listed ones."""
+    """Packed counts of the classes before (0..) and after (CLASSES..) each word beyond the ``head`` first listed ones, by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Listed = shared.value
-        index, n_listed = known.index(), len(known.words)
-        new: dict[bytes, int] = {}  # words beyond the list, numbered since the last flush
-        new_class: list[int] = []
+        listed, class_of = pa.array(known.words, pa.binary()), _by_code(known.of, known.spelled)
         held: list[np.ndarray] = []
+        beyond: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []  # words beyond the list with the classes around them
         size = 0
 
         def flush() -> pa.RecordBatch:
-            nonlocal held, size
-            key, n = np.unique(np.concatenate(held), return_counts=True)
+            keys, words = [*held], listed
+            if beyond:
+                found = pa.concat_arrays([w for w, _, _ in beyond]).dictionary_encode()
+                at = (found.indices.to_numpy(zero_copy_only=False).astype(np.int64) + len(listed)) * (2 * CLASSES)
+                keys += [at + np.concatenate([b for _, b, _ in beyond]), at + CLASSES + np.concatenate([a for _, _, a in beyond])]
+                words = pa.concat_arrays([listed, found.dictionary])
+            key, n = np.unique(np.concatenate(keys), return_counts=True)
             word = key // (2 * CLASSES)
             pairs = np.zeros(len(key), PAIR)
             pairs["context"], pairs["n"] = key % (2 * CLASSES), n
             first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
-            names = [*new]
-            w = [known.words[i] if i < n_listed else names[i - n_listed] for i in word[first].tolist()]
-            offsets = np.append(first, len(key)).astype(np.int32) * PAIR.itemsize
-            packed = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(pairs.tobytes())])
-            new.clear()
-            new_class.clear()
-            held, size = [], 0
-            return pa.RecordBatch.from_arrays([pa.array(w, pa.binary()), packed], names=["w", "packed"])
+            words, ends = words.take(pa.array(word[first])), np.append(first, len(key))
+            order, bucket, bounds = _dealt(words)
+            sizes = np.diff(ends)[order]
+            pairs = np.frombuffer(b"".join(_cut(pairs, ends).take(pa.array(order)).to_pylist()), PAIR)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(bucket), _joined(words.take(pa.array(order)), bounds), _cut(sizes.astype(np.uint8), bounds), _cut(pairs, np.concatenate(([0], np.cumsum(sizes)))[bounds])],
+                names=["bucket", "words", "sizes", "packed"],
+            )
 
         for batch in batches:
-            for text in texts(batch, "text"):
-                words = tokens(text)
-                if not words:
-                    continue
-                ids = np.fromiter(map(index.get, words, (-1 for _ in words)), np.int64, len(words))
-                for i in np.flatnonzero(ids < 0).tolist():
-                    at = new.get(words[i])
-                    if at is None:
-                        at = new[words[i]] = len(new)
-                        new_class.append(int(known.spelled[spelling(words[i])]))
-                    ids[i] = n_listed + at
-                path = np.full(len(ids) + 2, known.end, np.int64)
-                listed = ids < n_listed
-                path[1:-1][listed] = known.of[ids[listed]]
-                path[1:-1][~listed] = [new_class[i - n_listed] for i in ids[~listed].tolist()]
-                tail = np.flatnonzero(ids >= head)
-                held += [ids[tail] * (2 * CLASSES) + path[tail], ids[tail] * (2 * CLASSES) + CLASSES + path[tail + 2]]
-                size += 2 * len(tail)
-                if size > KEYS:
-                    yield flush()
+            ids, n = _flat(_column(batch, "ids"), np.int32)
+            if not len(ids):
+                continue
+            x, at = _padded(class_of[ids], n, known.end)
+            tail, rare = np.flatnonzero(ids >= head), np.flatnonzero(ids < 0)
+            key = ids[tail].astype(np.int64) * (2 * CLASSES)
+            held += [key + x[at[tail] - 1], key + CLASSES + x[at[tail] + 1]]
+            if len(rare):
+                beyond.append((_apart([w for w in _column(batch, "rare").to_pylist() if w]), x[at[rare] - 1], x[at[rare] + 1]))
+            size += 2 * (len(tail) + len(rare))
+            if size > KEYS:
+                yield flush()
+                held, beyond, size = [], [], 0
         if size:
             yield flush()
 
@@ -217,43 +346,26 @@ def _contexts(shared, head: int):
 
 
 def _exchanged(table: np.ndarray, spelled: np.ndarray):
-    """(w, c, class) from sorted packed contexts: each word goes where its neighbours are likeliest, given the table of classes."""
+    """(w, c, class) from packed contexts by bucket: each word goes where its neighbours are likeliest, given the table of classes."""
     smooth = table + 0.01
     log, before_of, after_of = np.log(smooth), np.log(smooth.sum(0)), np.log(smooth.sum(1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(words: list[bytes], m: np.ndarray) -> pa.RecordBatch:
-            before, after = m[:, :CLASSES], m[:, CLASSES:]
-            c = before.sum(1)
+        for _, rows in _groups(batches):
+            found = _apart([w for w, _, _ in rows]).dictionary_encode()
+            words, sizes = found.dictionary, np.frombuffer(b"".join(x for _, x, _ in rows), np.uint8)
+            pairs = np.frombuffer(b"".join(x for _, _, x in rows), PAIR)
+            word = np.repeat(found.indices.to_numpy(zero_copy_only=False).astype(np.int64), sizes)
+            m = np.bincount(word * (2 * CLASSES) + pairs["context"], pairs["n"], len(words) * 2 * CLASSES).reshape(-1, 2 * CLASSES)
+            c = m[:, :CLASSES].sum(1)
+            of, often, rare = np.zeros(len(words), np.int32), np.flatnonzero(c >= LEAST), np.flatnonzero(c < LEAST)
+            of[rare] = [spelled[spelling(w)] for w in words.take(pa.array(rare)).to_pylist()]
+            before, after = m[often, :CLASSES], m[often, CLASSES:]
             # what the likelihood of the classes gains by one more word of these neighbours in a class
-            gain = before @ log + after @ log.T - np.outer(c, before_of) - np.outer(after.sum(1), after_of)
+            gain = before @ log + after @ log.T - np.outer(c[often], before_of) - np.outer(after.sum(1), after_of)
             gain[:, -1] = -np.inf
-            of = gain.argmax(1)
-            for i in np.flatnonzero(c < LEAST).tolist():
-                of[i] = spelled[spelling(words[i])]
-            return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(c.astype(np.int64)), pa.array(of.astype(np.int32))], names=["w", "c", "class"])
-
-        last, held = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            w, packed = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            first = [i for i in range(len(w)) if not i or w[i] != w[i - 1]]
-            names = [w[i] for i in first]
-            sizes = np.array([len(p) // PAIR.itemsize for p in packed])
-            run_of = np.repeat(np.repeat(np.arange(len(first)), np.diff([*first, len(w)])), sizes)
-            pairs = np.frombuffer(b"".join(packed), PAIR)
-            m = np.bincount(run_of * (2 * CLASSES) + pairs["context"], pairs["n"], len(first) * 2 * CLASSES).reshape(-1, 2 * CLASSES)
-            if last is not None:
-                if names[0] == last:
-                    m[0] += held
-                else:
-                    yield out([last], held[None, :])
-            last, held = names[-1], m[-1].copy()
-            if len(names) > 1:
-                yield out(names[:-1], m[:-1])
-        if last is not None:
-            yield out([last], held[None, :])
+            of[often] = gain.argmax(1)
+            yield pa.RecordBatch.from_arrays([words, pa.array(c.astype(np.int64)), pa.array(of)], names=["w", "c", "class"])
 
     return run
 
@@ -266,96 +378,127 @@ class Classes:
     n_words: int
 
 
-def learn_classes(training: DataFrame) -> Classes:
-    """Counts and classes of all words of ``training`` (text)."""
-    spark = training.sparkSession
-    counts = materialize(training.mapInArrow(_counts, "w binary, n long").groupBy("w").agg(F.sum("n").alias("c")))
-    level, is_word = F.floor(F.log2("c") * 16).cast("int"), F.length("w") > 0
-    levels = counts.where(is_word).groupBy(level.alias("level")).agg(F.count("*").alias("words"), F.sum("c").alias("tokens")).orderBy(F.desc("level")).collect()
-    ends = (counts.where(~is_word).first() or {"c": 0})["c"]
+@dataclass
+class Counted:
+    """The listed words of a corpus by descending count, their counts, and what there is in all."""
+
+    words: list[bytes]
+    counts: np.ndarray
+    ends: int
+    n_tokens: int
+    n_words: int
+
+
+def count_words(training: DataFrame) -> Counted:
+    """Counts of all words of ``training`` (text)."""
+    dealt = training.select("text").mapInArrow(_counts, "bucket int, words binary, n binary").repartition("bucket").sortWithinPartitions("bucket")
+    counts = materialize(dealt.mapInArrow(_summed, "bucket int, words binary, n binary"))
+    ends = int(sum(np.frombuffer(r["n"], np.int64).sum() for r in counts.where("bucket < 0").collect()))
+    counts = counts.where("bucket >= 0")
+    levels = counts.mapInArrow(_levels, "level long, words long, tokens long").groupBy("level").agg(F.sum("words").alias("words"), F.sum("tokens").alias("tokens")).orderBy(F.desc("level")).collect()
     lowest, listed = 1 << 20, 0
     for r in levels:
         listed += r["words"]
         if listed > LISTED:
             break
         lowest = r["level"]
-    top = counts.where(is_word & (level >= lowest))
-    held = top.toArrow()
+    held = counts.mapInArrow(_commonest(lowest), "w binary, c long").toArrow()
     pairs = sorted(zip(held["c"].to_pylist(), held["w"].to_pylist(), strict=True), key=lambda x: (-x[0], x[1]))
-    words, count = [w for _, w in pairs], np.array([c for c, _ in pairs], np.int64)
-    frequent = words[:FREQUENT]
-    size = len(frequent) + SPELLINGS + 1
-    seen = np.zeros(size * size)
-    got = training.mapInArrow(_neighbours(frequent), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).toArrow()
-    seen[got["pair"].to_numpy()] = got["n"].to_numpy()
-    neighbours = seen.reshape(size, size)
+    n_tokens, n_words = ends + sum(r["tokens"] for r in levels), (ends > 0) + sum(r["words"] for r in levels)
+    return Counted([w for _, w in pairs], np.array([c for c, _ in pairs], np.int64), ends, n_tokens, n_words)
+
+
+def code(docs: DataFrame, counted: Counted) -> DataFrame:
+    """``docs`` (doc_id, held_out, text) with the places of their words in the list instead of texts, written once for all that follows."""
+    shared = docs.sparkSession.sparkContext.broadcast(counted.words)
+    rows = docs.select(F.monotonically_increasing_id().alias("id"), "doc_id", "held_out", "text")
+    return materialize(rows.mapInArrow(_coded(shared), "id long, doc_id long, held_out boolean, ids binary, rare binary"))
+
+
+def cluster(coded: DataFrame, counted: Counted) -> Classes:
+    """Classes of all words of the coded texts, which are those that were counted."""
+    spark, words, count, ends = coded.sparkSession, counted.words, counted.counts, counted.ends
+    frequent = min(FREQUENT, len(words))
+    size = frequent + SPELLINGS + 1
+    entry = np.array([i if i < frequent else frequent + spelling(w) for i, w in enumerate(words)], np.int64)
+    by_code = _by_code(entry, np.arange(frequent, size - 1))
+    neighbours = np.zeros((size, size))
+    near = coded.select("ids").mapInArrow(_neighbours(by_code, size), "entry int, n binary").repartition("entry").sortWithinPartitions("entry")
+    for r in near.mapInArrow(_added, "entry int, n binary").toArrow().to_pylist():
+        neighbours[r["entry"]] = np.frombuffer(r["n"], np.int64)
     of = exchange(neighbours, CLASSES)
-    entry, spelled, end = _Entries(frequent), of[len(frequent) : len(frequent) + SPELLINGS], int(of[-1])
-    known = Listed(words, count, np.array([of[entry[w]] for w in words], np.int64), spelled, end, ends)
+    spelled, end = of[frequent : size - 1], int(of[-1])
+    known = Listed(words, count, of[entry], spelled, end, ends)
     one = np.zeros((size, CLASSES))
     one[np.arange(size), of] = 1
-    packed = training.mapInArrow(_contexts(spark.sparkContext.broadcast(known), len(frequent)), "w binary, packed binary")
-    found = packed.repartition("w").sortWithinPartitions("w").mapInArrow(_exchanged(one.T @ neighbours @ one, spelled), "w binary, c long, class int")
-    first = [(w, int(c), int(k)) for w, c, k in zip(frequent, count, known.of, strict=False)] + [(END, ends, end)] * (ends > 0)
+    packed = coded.select("ids", "rare").mapInArrow(_contexts(spark.sparkContext.broadcast(known), frequent), "bucket int, words binary, sizes binary, packed binary")
+    found = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_exchanged(one.T @ neighbours @ one, spelled), "w binary, c long, class int")
+    first = [(w, int(c), int(k)) for w, c, k in zip(words[:frequent], count, known.of, strict=False)] + [(END, ends, end)] * (ends > 0)
     lexicon = materialize(found.union(spark.createDataFrame(first, "w binary, c long, class int")))
-    final = lexicon.join(top.select("w"), "w").select("w", "class").toArrow()
-    class_of = dict(zip(final["w"].to_pylist(), final["class"].to_pylist(), strict=True))
+    least = int(count[-1]) if len(words) else 0
+    final = lexicon.where((F.col("c") >= least) & (F.length("w") > 0)).select("w", "class").toArrow()  # the listed words: a list ends between two counts
+    class_of = dict(zip(final["w"].to_pylist(), final["class"].to_pylist(), strict=True)) if words else {}
     known = Listed(words, count, np.array([class_of[w] for w in words], np.int64), spelled, end, ends)
-    return Classes(lexicon, known, ends + sum(r["tokens"] for r in levels), (ends > 0) + sum(r["words"] for r in levels))
+    return Classes(lexicon, known, counted.n_tokens, counted.n_words)
+
+
+def learn_classes(training: DataFrame) -> Classes:
+    """Counts and classes of all words of ``training`` (text)."""
+    counted = count_words(training)
+    return cluster(code(training.select(F.lit(None).cast("long").alias("doc_id"), F.lit(False).alias("held_out"), "text"), counted), counted)
 
 
 def _paths(shared):
-    """The classes of a text's tokens, one byte each, its end not among them; words beyond the list apart."""
+    """The classes of a text's tokens, one byte each, its end not among them; words beyond the list by their spelling."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: Listed = shared.value
-        index = known.index()
-        log_count = np.log10(known.counts + DELTA)
+        class_of = _by_code(known.of, known.spelled).astype(np.uint8)
+        log_count = _by_code(np.log10(known.counts + DELTA), np.zeros(SPELLINGS))
         end_log = math.log10(known.ends + DELTA)
         for batch in batches:
-            out = []
-            for text in texts(batch, "text"):
-                w = tokens(text)
-                ids = np.fromiter(map(index.get, w, (-1 for _ in w)), np.int64, len(w))
-                rare = np.flatnonzero(ids < 0)
-                listed = ids >= 0
-                path = np.zeros(len(w), np.uint8)
-                path[listed] = known.of[ids[listed]]
-                path[rare] = [known.spelled[spelling(w[i])] for i in rare]
-                out.append((len(w) + 1, int(listed.sum()) + (known.ends > 0), float(log_count[ids[listed]].sum() + end_log), path.tobytes(), [{"at": i, "w": w[i]} for i in rare.tolist()]))
-            rest = [batch.column(batch.schema.get_field_index(c)) for c in ("id", "doc_id", "held_out")]
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.list_(pa.struct([("at", pa.int32()), ("w", pa.binary())])))
-            columns = list(zip(*out, strict=True)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([*rest, *(pa.array(c, k) for c, k in zip(columns, kinds, strict=True))], names=["id", "doc_id", "held_out", "n_tokens", "n_known", "known", "path", "rare"])
+            ids, n = _flat(_column(batch, "ids"), np.int32)
+            row = np.repeat(np.arange(len(n)), n)
+            listed = np.bincount(row[ids >= 0], minlength=len(n)) + (known.ends > 0)
+            log = np.bincount(row, log_count[ids], len(n)) + end_log
+            rest = [_column(batch, c) for c in ("id", "doc_id", "held_out")]
+            path = _cut(class_of[ids], np.concatenate(([0], np.cumsum(n))))
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(n + 1), pa.array(listed, pa.int64()), pa.array(log, pa.float64()), path], names=["id", "doc_id", "held_out", "n_tokens", "n_known", "known", "path"])
 
     return run
 
 
-def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """path with the classes of ``more`` (at, class) put in, and without that column."""
+def _rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, at, w) of each word beyond the list."""
     for batch in batches:
-        paths = []
-        for path, more in zip(batch.column(batch.schema.get_field_index("path")).to_pylist(), batch.column(batch.schema.get_field_index("more")).to_pylist(), strict=True):
-            if more:
-                x = np.frombuffer(path, np.uint8).copy()
-                x[[m["at"] for m in more]] = [m["class"] for m in more]
-                path = x.tobytes()
-            paths.append(path)
-        names = [n for n in batch.schema.names if n not in ("path", "more")]
-        yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), pa.array(paths, pa.binary())], names=[*names, "path"])
+        ids, n = _flat(_column(batch, "ids"), np.int32)
+        beyond = np.flatnonzero(ids < 0)
+        if len(beyond):
+            row = np.repeat(np.arange(len(n)), n)[beyond]
+            at = (beyond - (np.cumsum(n) - n)[row]).astype(np.int32)
+            words = _apart([w for w in _column(batch, "rare").to_pylist() if w])
+            yield pa.RecordBatch.from_arrays([_column(batch, "id").take(pa.array(row)), pa.array(at), words], names=["id", "at", "w"])
 
 
-def _ended(path: bytes, end: int) -> np.ndarray:
-    return np.concatenate(([end], np.frombuffer(path, np.uint8), [end])).astype(np.int64)
+def _filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """path with the classes of ``more`` (at, class) put in, and without that column."""
+    for batch in batches:
+        path, n = _flat(_column(batch, "path"), np.uint8)
+        more = _column(batch, "more")
+        put = more.flatten()
+        first = np.repeat(np.cumsum(n) - n, pc.fill_null(pc.list_value_length(more), 0).to_numpy(zero_copy_only=False))
+        path = path.copy()
+        path[first + put.field("at").to_numpy(zero_copy_only=False)] = put.field("class").to_numpy(zero_copy_only=False)
+        names = [c for c in batch.schema.names if c not in ("path", "more")]
+        yield pa.RecordBatch.from_arrays([*(_column(batch, c) for c in names), _cut(path, np.concatenate(([0], np.cumsum(n))))], names=[*names, "path"])
 
 
 def _transitions(end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(CLASSES * CLASSES, np.int64)
         for batch in batches:
-            for path in batch.column(batch.schema.get_field_index("path")).to_pylist():
-                x = _ended(path, end)
-                seen += np.bincount(x[:-1] * CLASSES + x[1:], minlength=CLASSES * CLASSES)
+            x, _ = _padded(*_flat(_column(batch, "path"), np.uint8), end)
+            seen += np.bincount(x[:-1] * CLASSES + x[1:], minlength=CLASSES * CLASSES)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["pair", "n"])
 
@@ -372,12 +515,12 @@ def model(table: np.ndarray, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _scores(transition: np.ndarray, divisor: np.ndarray, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            added = []
-            for path in batch.column(batch.schema.get_field_index("path")).to_pylist():
-                x = _ended(path, end)
-                added.append(float(transition[x[:-1], x[1:]].sum() - divisor[x[1:]].sum()))
-            names = [n for n in batch.schema.names if n != "path"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(n)) for n in names), pa.array(added, pa.float64())], names=[*names, "added"])
+            path, n = _flat(_column(batch, "path"), np.uint8)
+            x, _ = _padded(path, n, end)
+            # a step into each token and one into each end
+            added = np.bincount(np.repeat(np.arange(len(n)), n + 1), transition[x[:-1], x[1:]] - divisor[x[1:]], len(n))
+            names = [c for c in batch.schema.names if c != "path"]
+            yield pa.RecordBatch.from_arrays([*(_column(batch, c) for c in names), pa.array(added, pa.float64())], names=[*names, "added"])
 
     return run
 
@@ -391,22 +534,24 @@ def class_scores(docs: DataFrame) -> DataFrame:
     """
     spark: SparkSession = docs.sparkSession
     docs = docs.select("doc_id", held_out(10, 0).alias("held_out"), "text")
-    learned = learn_classes(docs.where("not held_out and doc_id is not null").select("text"))
+    learns = "not held_out and doc_id is not null"
+    counted = count_words(docs.where(learns))
+    coded = code(docs, counted)
+    learned = cluster(coded.where(learns), counted)
     n, v, end = learned.n_tokens, learned.n_words, learned.listed.end
-    shared = spark.sparkContext.broadcast(learned.listed)
-    schema = "id long, doc_id long, held_out boolean, n_tokens long, n_known long, known double, path binary, rare array<struct<at:int,w:binary>>"
-    paths = materialize(docs.withColumn("id", F.monotonically_increasing_id()).mapInArrow(_paths(shared), schema))
-    rare = paths.select("id", F.explode("rare").alias("x")).select("id", "x.at", "x.w").join(learned.lexicon, "w", "left")
+    shared = spark.sparkContext.broadcast(replace(learned.listed, words=[]))
+    paths = coded.drop("rare").mapInArrow(_paths(shared), "id long, doc_id long, held_out boolean, n_tokens long, n_known long, known double, path binary")
+    rare = coded.select("id", "ids", "rare").mapInArrow(_rare, "id long, at int, w binary").join(learned.lexicon, "w", "left")
     more = rare.groupBy("id").agg(
         F.count("c").alias("more_known"), F.sum(F.log10(F.coalesce("c", F.lit(0)) + F.lit(DELTA))).alias("more_log"),
         F.collect_list(F.when(F.col("class").isNotNull(), F.struct("at", "class"))).alias("more"),
     )
-    joined = paths.drop("rare").join(more, "id", "left").select(
+    joined = paths.join(more, "id", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), (F.col("known") + F.coalesce("more_log", F.lit(0.0))).alias("known"), "path", "more"
     )
     filled = materialize(joined.mapInArrow(_filled, "doc_id long, held_out boolean, n_tokens long, n_known long, known double, path binary"))
     table, kinds = np.zeros(CLASSES * CLASSES), np.zeros(CLASSES)
-    for r in filled.where("not held_out and doc_id is not null").select("path").mapInArrow(_transitions(end), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+    for r in filled.where(learns).select("path").mapInArrow(_transitions(end), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
         table[r["pair"]] = r["n"]
     for r in learned.lexicon.groupBy("class").count().collect():
         kinds[r["class"]] = r["count"]

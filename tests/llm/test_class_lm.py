@@ -4,6 +4,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 
 from geoloom.llm import class_lm
 
@@ -103,3 +105,83 @@ def test_words_beyond_the_head_are_clustered(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert class_lm.class_scores(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_texts_are_split_in_two_passes(spark):
+    """Learning rows are read as texts for the counts and once more for the places of their words, all others once."""
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    rows = corpus()
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("text", F.udf(seen, "string")("text"))
+    assert len(class_lm.class_scores(docs).collect()) == len(rows)
+    assert read.value == len(rows) + sum(zlib.crc32(str(d).encode()) % 10 > 0 for d, _, _ in rows)
+
+
+def test_words_are_those_of_bytes():
+    rows = ["", " ", "a", " A b\t\r\n\x0b\x0cC ", None, "\x1c x\x1fy\x85z\xa0\u2003\u3000w", "\u0130 \xc9 \xdf \u212a", "a\x00b \x00", "\n" * 5 + "end"]
+    for column in (pa.array(rows), pa.array(rows).slice(2, 5), pa.array(rows[:2]), pa.array([None], pa.string()), pa.array([], pa.string()), pa.array([b"\xff A\xfe", b"\xc3 ", None])):
+        flat, n = class_lm.words_of(column)
+        want = [(t.encode() if isinstance(t, str) else t or b"").lower().split() for t in column.to_pylist()]
+        assert flat.to_pylist() == [w for words in want for w in words] and n.tolist() == [len(w) for w in want]
+
+
+def by_bucket(batches):
+    """What a shuffle by the first column hands to one task, a few rows at a time."""
+    rows = pa.Table.from_batches(batches)
+    return rows.sort_by(rows.schema.names[0]).combine_chunks().to_batches(max_chunksize=3)
+
+
+def test_packing_often_gives_the_same_counts_and_classes(monkeypatch):
+    texts = [t for _, t, _ in corpus()] + ["rare-1 a1 rare-1", "rare-2 rare-1 B3"]
+    plain = Counter(w for t in texts for w in (t or "").encode().lower().split())
+    words = [w for w, _ in plain.most_common(30)]
+    of = np.arange(30) % 5
+    known = class_lm.Listed(words, np.array([plain[w] for w in words]), of, np.arange(class_lm.SPELLINGS) % 5, class_lm.CLASSES - 1, len(texts))
+
+    class Shared:
+        value = words
+
+    class SharedList:
+        value = known
+
+    rows = pa.table({"id": range(len(texts)), "doc_id": range(len(texts)), "held_out": [False] * len(texts), "text": texts}).to_batches(max_chunksize=7)
+    class_of = lambda w: int(of[words.index(w)]) if w in words else class_lm.spelling(w) % 5
+    around = {w: np.zeros(2 * class_lm.CLASSES) for w in plain}
+    for t in texts:
+        path = (t or "").encode().lower().split()
+        classes = [known.end, *map(class_of, path), known.end]
+        for i, w in enumerate(path):
+            around[w][classes[i]] += 1
+            around[w][class_lm.CLASSES + classes[i + 2]] += 1
+    table = np.random.default_rng(0).random((class_lm.CLASSES, class_lm.CLASSES)) * 100
+    log = np.log(table + 0.01)
+    want = {}
+    for w, m in around.items():
+        before, after = m[: class_lm.CLASSES], m[class_lm.CLASSES :]
+        gain = before @ log + log @ after - before.sum() * np.log((table + 0.01).sum(0)) - after.sum() * np.log((table + 0.01).sum(1))
+        want[w] = (plain[w], int(gain[:-1].argmax()) if plain[w] >= class_lm.LEAST else class_lm.spelling(w) % 5)
+    coded = list(class_lm._coded(Shared)(iter(rows)))
+    for held, keys, buckets in ((2_000_000, 3_000_000, 4096), (40, 60, 4096), (40, 60, 3)):
+        for name, value in (("HELD", held), ("KEYS", keys), ("BUCKETS", buckets)):
+            monkeypatch.setattr(class_lm, name, value)
+        counts = {}
+        for batch in class_lm._summed(iter(by_bucket(class_lm._counts(iter(rows))))):
+            for bucket, joined, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                counts |= dict(zip([b""] if bucket < 0 else joined.split(b" "), np.frombuffer(n, np.int64).tolist(), strict=True))
+        assert counts == plain | {b"": len(texts)}
+        got = [r for b in class_lm._exchanged(table, known.spelled)(iter(by_bucket(class_lm._contexts(SharedList, 10)(iter(coded))))) for r in b.to_pylist()]
+        assert len(got) == len(plain) - 10 and {r["w"]: (r["c"], r["class"]) for r in got} == {w: x for w, x in want.items() if w not in words[:10]}
+
+
+def test_only_empty_texts(spark):
+    got = class_lm.class_scores(spark.createDataFrame([(1, None, "x"), (2, "", "x"), (3, " \t ", "x"), (None, None, "x")], SCHEMA)).collect()
+    assert [(r["n_tokens"], r["n_known"]) for r in got] == [(1, 1)] * 4 and all(math.isfinite(r["score"]) for r in got)
+
+
+def test_texts_that_are_no_utf8(spark):
+    docs = spark.createDataFrame([(i, bytearray(b"\xffA b " * (i + 1))) for i in range(20)], "doc_id long, raw binary").select("doc_id", F.col("raw").cast("string").alias("text"))
+    assert {r["doc_id"]: r["n_tokens"] for r in class_lm.class_scores(docs).select("doc_id", "n_tokens").collect()} == {i: 2 * i + 3 for i in range(20)}

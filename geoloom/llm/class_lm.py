@@ -39,7 +39,7 @@ from geoloom.plans.materialize import materialize
 FREQUENT, SPELLINGS, CLASSES, LISTED, LEAST = 768, 256, 48, 1 << 18, 3
 KEYS = 3_000_000  # contexts held before they are packed
 HELD = 2_000_000  # tokens held before they are counted
-BUCKETS = 4096  # of words, by checksum: a shuffled row holds what one task has of a bucket
+BUCKETS, SHARE = 4096, 1 << 12  # buckets of words by checksum, at least, and words of one where their number is known; a shuffled row holds what a task has of a bucket
 END = b""  # stands for the end of a text; no word is empty
 DELTA, PRIOR = 0.1, 2.0
 PAIR = np.dtype([("context", "u1"), ("n", "<u4")])
@@ -96,9 +96,9 @@ def _padded(values: np.ndarray, n: np.ndarray, end: int) -> tuple[np.ndarray, np
     return out, at
 
 
-def _dealt(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _dealt(words: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The order of words by bucket, the buckets that occur, and the bounds of each."""
-    bucket = np.fromiter(map(zlib.crc32, words.to_pylist()), np.uint32, len(words)) % BUCKETS
+    bucket = np.fromiter(map(zlib.crc32, words.to_pylist()), np.uint32, len(words)) % buckets
     order = np.argsort(bucket, kind="stable")
     found, first = np.unique(bucket[order], return_index=True)
     return order, found.astype(np.int32), np.append(first, len(words))
@@ -126,7 +126,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out() -> pa.RecordBatch:
         found = pc.value_counts(pa.concat_arrays(held))
         words, n = found.field("values"), found.field("counts").to_numpy(zero_copy_only=False).astype(np.int64)
-        order, bucket, bounds = _dealt(words)
+        order, bucket, bounds = _dealt(words, BUCKETS)
         return pa.RecordBatch.from_arrays([pa.array(bucket), _joined(words.take(pa.array(order)), bounds), _cut(n[order], bounds)], names=names)
 
     for batch in batches:
@@ -294,7 +294,7 @@ class Listed:
     ends: int
 
 
-def _contexts(shared, head: int):
+def _contexts(shared, head: int, buckets: int):
     """Packed counts of the classes before (0..) and after (CLASSES..) each word beyond the ``head`` first listed ones, by bucket."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +317,7 @@ def _contexts(shared, head: int):
             pairs["context"], pairs["n"] = key % (2 * CLASSES), n
             first = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
             words, ends = words.take(pa.array(word[first])), np.append(first, len(key))
-            order, bucket, bounds = _dealt(words)
+            order, bucket, bounds = _dealt(words, buckets)
             sizes = np.diff(ends)[order]
             pairs = np.frombuffer(b"".join(_cut(pairs, ends).take(pa.array(order)).to_pylist()), PAIR)
             return pa.RecordBatch.from_arrays(
@@ -431,7 +431,8 @@ def cluster(coded: DataFrame, counted: Counted) -> Classes:
     known = Listed(words, count, of[entry], spelled, end, ends)
     one = np.zeros((size, CLASSES))
     one[np.arange(size), of] = 1
-    packed = coded.select("ids", "rare").mapInArrow(_contexts(spark.sparkContext.broadcast(known), frequent), "bucket int, words binary, sizes binary, packed binary")
+    contexts = _contexts(spark.sparkContext.broadcast(known), frequent, max(BUCKETS, counted.n_words // SHARE))
+    packed = coded.select("ids", "rare").mapInArrow(contexts, "bucket int, words binary, sizes binary, packed binary")
     found = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_exchanged(one.T @ neighbours @ one, spelled), "w binary, c long, class int")
     first = [(w, int(c), int(k)) for w, c, k in zip(words[:frequent], count, known.of, strict=False)] + [(END, ends, end)] * (ends > 0)
     lexicon = materialize(found.union(spark.createDataFrame(first, "w binary, c long, class int")))

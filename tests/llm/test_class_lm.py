@@ -173,7 +173,7 @@ def test_packing_often_gives_the_same_counts_and_classes(monkeypatch):
             for bucket, joined, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 counts |= dict(zip([b""] if bucket < 0 else joined.split(b" "), np.frombuffer(n, np.int64).tolist(), strict=True))
         assert counts == plain | {b"": len(texts)}
-        got = [r for b in class_lm._exchanged(table, known.spelled)(iter(by_bucket(class_lm._contexts(SharedList, 10)(iter(coded))))) for r in b.to_pylist()]
+        got = [r for b in class_lm._exchanged(table, known.spelled)(iter(by_bucket(class_lm._contexts(SharedList, 10, buckets)(iter(coded))))) for r in b.to_pylist()]
         assert len(got) == len(plain) - 10 and {r["w"]: (r["c"], r["class"]) for r in got} == {w: x for w, x in want.items() if w not in words[:10]}
 
 

@@ -137,6 +137,15 @@ def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*rest, pa.array([x[0].astype(np.int32) for x in found], kind), pa.array([x[1].astype(np.int32) for x in found], kind)], names=["k", "lang", "at", "counts"])
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple[int, str, np.ndarray, np.ndarray]]:
+    """(k, lang, at, counts) of each row; the arrays stay in Arrow's memory."""
+    k, lang, at, counts = (batch.column(batch.schema.get_field_index(c)) for c in ("k", "lang", "at", "counts"))
+    i, j = at.offsets.to_numpy(), counts.offsets.to_numpy()
+    at, counts = at.values.to_numpy(), counts.values.to_numpy()
+    for r in range(batch.num_rows):
+        yield k[r].as_py(), lang[r].as_py(), at[i[r] : i[r + 1]], counts[j[r] : j[r + 1]]
+
+
 def learn(docs: DataFrame, sample_rows: int = 2400) -> Model | None:
     """The model of ``docs`` (doc_id, text, lang): rows with a null lang or doc_id teach nothing; None without rows.
 
@@ -150,8 +159,8 @@ def learn(docs: DataFrame, sample_rows: int = 2400) -> Model | None:
         return None
     languages, total = sorted(per), sum(r["n"] for r in counted)
     df = np.zeros(BUCKETS)
-    for r in rows.select("text").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        df[r["bucket"]] = r["n"]
+    found = rows.select("text").mapInArrow(_frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()
+    df[found["bucket"].to_numpy()] = found["n"].to_numpy()
     idf = np.log((1 + total) / (1 + df)) + 1
     each = max(20, sample_rows // len(languages))
     # twice as many as wanted by hash, of these the least of each language
@@ -160,7 +169,7 @@ def learn(docs: DataFrame, sample_rows: int = 2400) -> Model | None:
     chosen = rows.where(place < share[F.col("lang")] * float(1 << 40)).dropDuplicates(["k", "lang"])
     chosen = chosen.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(place, "k"))).where(F.col("rank") <= each)
     gathered = chosen.select("k", "lang", "text").mapInArrow(_grams, "k long, lang string, at array<int>, counts array<int>").toArrow()
-    sample = [(k, lang, np.array(at), np.array(n)) for k, lang, at, n in zip(*(gathered[c].to_pylist() for c in ("k", "lang", "at", "counts")), strict=True) if at]
+    sample = [row for batch in gathered.to_batches() for row in _rows(batch) if len(row[2])]
     return fit(languages, idf, [x[1:] for x in sorted(sample, key=lambda x: (x[0], x[1]))])
 
 

@@ -3,7 +3,8 @@
 Alternating large-star / small-star contraction (Kiveris et al., "Connected Components in MapReduce
 and Beyond", 2014): every round is a pre-aggregated ``min`` per node and a join back, so a node with
 a third of all edges is handled by partial aggregation and by adaptive skew-join splitting.
-Each round is written to the shared folder, which bounds the lineage.
+Each round is written to the shared folder, which bounds the lineage; rounds end once the edges are
+stars, without one more that changes nothing.
 """
 
 from __future__ import annotations
@@ -21,9 +22,12 @@ def _both(edges: DataFrame) -> DataFrame:
     return edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _state(edges: DataFrame) -> tuple[int, int]:
+    """Number of edges, and of nodes that keep them from being stars: tied to several nodes below, or tied below and to nodes above."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(edges.select("v", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    row = nodes.agg(F.sum("up").alias("n"), F.count_if(F.expr("up > 1 or up > 0 and down > 0")).alias("open")).first()
+    return row["n"] or 0, row["open"]
 
 
 def _solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,13 +59,15 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
     pairs = materialize(pairs)  # read twice below
     nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
     work = materialize(pairs.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    seen = _state(work)
-    for _ in range(max_rounds):
-        if not seen[0]:
+    for done in range(max_rounds + 1):
+        n, unsettled = _state(work)
+        if not unsettled:
             break
-        if seen[0] <= finish:
+        if n <= finish:
             work = materialize(work.repartition(1).mapInArrow(_solve, "u long, v long"))
             break
+        if done == max_rounds:
+            raise RuntimeError(f"components not settled after {max_rounds} rounds")
         both = _both(work)
         low = both.groupBy("u").agg(F.min("v").alias("m"))
         # large star: neighbours above u are tied to the least of u and its neighbours
@@ -76,13 +82,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
             .union(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
         )
         following = materialize(small)
-        now = _state(following)
         release(work)
         work = following
-        if now == seen:
-            break
-        seen = now
-    else:
-        raise RuntimeError(f"components not settled after {max_rounds} rounds")
     found = work.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))

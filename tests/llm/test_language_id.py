@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 from geoloom.llm import language_id as li
@@ -69,3 +70,20 @@ def test_letters_of_all_planes_and_blocks():
         got = li.ngrams(text, block)
         assert got[0].tolist() == whole[0].tolist() and got[1].tolist() == whole[1].tolist()
     assert len(li.ngrams(b"\xff\xfe abc")[0])
+
+
+def test_sample_stays_in_arrays(spark, monkeypatch):
+    """The driver holds the sample as Arrow sent it, not as lists of whole numbers."""
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(400)), "ab"[i % 2], "x") for i in range(400)], SCHEMA)
+    kept = []
+    monkeypatch.setattr(li, "fit", lambda languages, idf, rows: kept.append((languages, rows)))
+    tracemalloc.start()
+    li.learn(docs)
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    (languages, rows), numbers = kept[0], sum(len(at) + len(n) for _, at, n in kept[0][1])
+    assert languages == ["a", "b"] and len(rows) == 400 and numbers > 1_500_000
+    want = sorted((r["lang"], int(li.ngrams(r["text"].encode())[1] @ li.ngrams(r["text"].encode())[0])) for r in docs.collect())
+    assert sorted((x, int(at.astype(int) @ n)) for x, at, n in rows) == want
+    assert most < 20 << 20, most

@@ -170,14 +170,15 @@ def _links(k: int, percent: int):
         for _, rows in groups(batches, ["block", "chunk", "part"]):
             ids, sets = _sets(rows, k)
             low = link(sets, percent)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([ids[i] for i in low], pa.int64())], names=["src", "dst"])
+            divided = pa.array([rows["chunks"][0].as_py() > 1] * len(ids), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([ids[i] for i in low], pa.int64()), divided], names=["src", "dst", "divided"])
 
     return run
 
 
 def _linked(rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """rows: block, chunk, part, class_id, packed. (src, dst) with the least class of each local component."""
-    return rows.repartition("block", "chunk", "part").sortWithinPartitions("block", "chunk", "part").mapInArrow(_links(k, percent), "src long, dst long")
+    """rows: block, chunks, chunk, part, class_id, packed. (src, dst, divided) with the least class of each local component; divided: its block has more chunks."""
+    return rows.repartition("block", "chunk", "part").sortWithinPartitions("block", "chunk", "part").mapInArrow(_links(k, percent), "src long, dst long, divided boolean")
 
 
 def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, chunk: int = 512) -> DataFrame:
@@ -206,11 +207,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 75, chunk: in
     dealt = content.withColumn("chunks", chunks).withColumn("own", F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int"))
     pivot = (F.col("class_id") == F.col("block")) | (F.pmod(F.xxhash64("class_id", F.lit(7)), F.greatest(F.lit(1), F.expr("members div 8"))) == 0)
     everywhere = F.when((F.col("chunks") > 1) & pivot, F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(F.array("own"))
-    once = materialize(_linked(dealt.withColumn("chunk", F.explode(everywhere)).withColumn("part", F.lit(0)).select("block", "chunk", "part", "class_id", "packed"), k, percent))
-    labels = materialize(connected_components(once))
+    once = materialize(_linked(dealt.withColumn("chunk", F.explode(everywhere)).withColumn("part", F.lit(0)).select("block", "chunks", "chunk", "part", "class_id", "packed"), k, percent))
+    # a block of one chunk is settled; rounds over the whole table are for what several tasks have linked
+    divided = once.where("divided").select("src", "dst")
+    labels = materialize(connected_components(divided))
     more = _rest(dealt.where("chunks > 1"), labels, k, percent, chunk)
     if more is not None:
-        labels = materialize(connected_components(once.union(more)))
+        labels = materialize(connected_components(divided.union(more.select("src", "dst"))))
+    labels = labels.union(once.where("not divided").select("src", "dst"))
     least = (
         first.join(labels.withColumnRenamed("node", "class_id"), "class_id", "left")
         .select("class_id", "doc_id", F.coalesce("component", "class_id").alias("component"))
@@ -248,5 +252,5 @@ def _rest(dealt: DataFrame, labels: DataFrame, k: int, percent: int, chunk: int)
     part = F.pmod(F.xxhash64("class_id", F.lit(3)), F.col("parts")).cast("int")
     opened = rows.where("open").withColumn("part", part).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     facing = rows.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("chunk", F.col("own"))
-    columns = ["block", "chunk", "part", "class_id", "packed"]
+    columns = ["block", "chunks", "chunk", "part", "class_id", "packed"]
     return materialize(_linked(opened.select(columns).union(facing.select(columns)), k, percent))

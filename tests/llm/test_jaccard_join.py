@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from geoloom.llm import jaccard_join
+from geoloom.operators import graph
 
 SCHEMA = "doc_id long, text string, lang string, component_id string"
 
@@ -98,3 +99,24 @@ def test_rows_that_share_one_half_of_their_key_stay_apart(spark, monkeypatch, sa
     monkeypatch.setattr(jaccard_join, "wide_row_key", lambda: whole().withField(same, F.lit(0).cast("long")))
     test_one_of_each(spark)
     test_links_through_a_null_doc_id(spark)
+
+
+def test_rounds_end_at_stars(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph, "materialize", lambda df, f=graph.materialize: written.append(1) or f(df))
+    stars = spark.createDataFrame([(5, 1), (6, 1), (1, 9), (2, 7), (3, 3), (None, 4)], "src long, dst long")
+    assert sorted(map(tuple, graph.connected_components(stars).collect())) == [(1, 1), (2, 2), (3, 3), (5, 1), (6, 1), (7, 2), (9, 1)]
+    assert len(written) == 2  # the pairs and the edges, no round
+    chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (100, 102)], "src long, dst long")
+    assert sorted(map(tuple, graph.connected_components(chain).collect())) == [(i, 0) for i in range(41)] + [(i, 100) for i in (100, 101, 102)]
+    with pytest.raises(RuntimeError, match="not settled"):
+        graph.connected_components(chain, max_rounds=1)
+
+
+def test_blocks_of_one_chunk_need_no_rounds(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(jaccard_join, "connected_components", lambda edges, f=jaccard_join.connected_components: given.append(edges.count()) or f(edges))
+    rows = corpus()
+    docs = spark.createDataFrame([(d, t, "en", "x") for d, t in rows], SCHEMA)
+    assert sorted(tuple(r)[:3] for r in jaccard_join.jaccard_components(docs).collect()) == brute(rows)
+    assert given[0] > 0 and given[1:] == [0]
